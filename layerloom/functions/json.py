@@ -6,7 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-# Spark's default JSON and CSV patterns stop at milliseconds; these keep every microsecond.
+# Write options for JSON and CSV: Spark's default patterns stop at milliseconds, these keep
+# every microsecond. Readers need none, as their default takes any number of digits.
 LOSSLESS_TIME = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
@@ -26,7 +27,7 @@ def json_field(
 
 def json_record(body: Column | str, schema: StructType | str) -> Column:
     """JSON text to a struct of an explicit schema; values that do not fit become null."""
-    return F.from_json(body, schema, LOSSLESS_TIME)
+    return F.from_json(body, schema)
 
 
 def json_text(record: Column, pretty: bool = False) -> Column:

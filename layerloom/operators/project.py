@@ -23,6 +23,10 @@ def nested_fields(df: DataFrame, *paths: str) -> DataFrame:
 
 
 def exploded(df: DataFrame, array: Column | str, name: str) -> DataFrame:
-    """One row per array element beside the other columns; empty and null arrays add none."""
+    """One row per array element beside the other columns; empty and null arrays add none.
+
+    Pass an array that has yet to be computed as an expression: exploding a computed column
+    by name makes Spark filter on it first, and so compute it more than once.
+    """
     kept = [c for c in df.columns if c != array] if isinstance(array, str) else df.columns
     return df.select(*kept, F.explode(array).alias(name))

@@ -26,7 +26,8 @@ def write_json_array(
     """Directory of part files that are each one valid JSON array; non-ASCII text is kept.
 
     Every task streams its own partition into its own array, so there are as many files
-    as partitions, no shuffle and no gathered group. An empty partition gives ``[]``. A
+    as partitions, no shuffle and no gathered group. An empty partition gives ``[]``; where
+    Spark finds the whole input empty and runs no partition, it leaves one empty file. A
     caller who needs a single file passes ``df.coalesce(1)`` and bears that cost.
     """
     elements = df.select(json_text(F.struct("*"), pretty).alias("value"))

@@ -47,11 +47,19 @@ def opened(
     with its ``rejected_body``).
     """
     unreadable = _unreadable()
-    return _parsed(landed, body, element).select(
+    judged = _parsed(landed, body, element).select(
         *_parameters(landed, body),
         F.when(unreadable, "rejected").otherwise("accepted").alias("outcome"),
         F.when(unreadable, F.col("_body")).alias("rejected_body"),
-        F.explode(F.when(unreadable, F.array(F.lit(None))).otherwise(_elements())).alias("element"),
+        F.when(unreadable, F.array(F.lit(None))).otherwise(_elements()).alias("_elements"),
+    )
+    # Exploded last, so that an element carries the verdict and not the whole body. Spark
+    # filters a bare exploded column beforehand, which would parse each body again.
+    return judged.select(
+        *_parameters(landed, body),
+        "outcome",
+        "rejected_body",
+        F.explode(F.coalesce("_elements", F.array())).alias("element"),
     )
 
 

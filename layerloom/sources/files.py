@@ -3,8 +3,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from layerloom.functions.json import LOSSLESS_TIME
-
 Paths = str | list[str]
 Schema = StructType | str
 
@@ -18,7 +16,7 @@ def read_csv(
     **options: str,
 ) -> DataFrame:
     """CSV scan. A schema wins over inference, which costs a second pass over the files."""
-    reader = spark.read.options(**{**LOSSLESS_TIME, **options}).option("header", header)
+    reader = spark.read.options(**options).option("header", header)
     if schema is not None:
         reader = reader.schema(schema)
     else:
@@ -64,11 +62,11 @@ def read_by_key(
     spark: SparkSession, path: str, schema: Schema, format: str = "json"
 ) -> DataFrame:
     """A per-key export. ``schema`` names the key too, as its files no longer hold it."""
-    return spark.read.options(**LOSSLESS_TIME).schema(schema).format(format).load(path)
+    return spark.read.schema(schema).format(format).load(path)
 
 
 def _json(
     spark: SparkSession, path: Paths, schema: Schema | None, options: dict[str, str]
 ) -> DataFrame:
-    reader = spark.read.options(**{**LOSSLESS_TIME, **options})
+    reader = spark.read.options(**options)
     return (reader.schema(schema) if schema is not None else reader).json(path)

@@ -1,0 +1,235 @@
+"""Round trips and edges of the file sources and sinks."""
+
+from __future__ import annotations
+
+import datetime
+import json
+from collections import Counter
+from pathlib import Path
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from layerloom import sinks, sources
+
+SCHEMA = "id bigint, name string, seen timestamp_ntz, tag struct<a: bigint, b: string>"
+ROWS = [
+    (1, "plain", datetime.datetime(2024, 1, 1, 2, 3, 4, 567891), (1, "x")),
+    (2, 'quote " comma , ünï 名', datetime.datetime(2024, 1, 2), (2, None)),
+    (3, "two\nlines", None, None),
+    (4, None, datetime.datetime(1999, 12, 31, 23, 59, 59, 1), (None, "y")),
+    (4, None, datetime.datetime(1999, 12, 31, 23, 59, 59, 1), (None, "y")),
+]
+FLAT = "id bigint, name string, seen timestamp_ntz"
+
+
+@pytest.fixture
+def df(spark):
+    return spark.createDataFrame(ROWS, SCHEMA).repartition(3)
+
+
+def same(left, right):
+    return Counter(map(repr, left.collect())) == Counter(map(repr, right.collect()))
+
+
+def part_files(path):
+    return sorted(p for p in Path(path).rglob("part-*") if p.suffix != ".crc")
+
+
+def test_csv_roundtrip(spark, df, tmp_path):
+    flat = df.drop("tag").filter("id <> 3")
+    path = sinks.write_csv(flat, str(tmp_path / "csv"))
+    assert part_files(path)[0].read_text().splitlines()[0] == "id,name,seen"
+    assert same(sources.read_csv(spark, path, schema=FLAT), flat)
+
+
+def test_csv_without_header(spark, df, tmp_path):
+    flat = df.drop("tag").filter("id <> 3")
+    path = sinks.write_csv(flat, str(tmp_path / "csv"), header=False)
+    assert same(sources.read_csv(spark, path, header=False, schema=FLAT), flat)
+    unnamed = sources.read_csv(spark, path, header=False, infer_schema=False)
+    assert unnamed.dtypes == [("_c0", "string"), ("_c1", "string"), ("_c2", "string")]
+
+
+def test_csv_schema_beats_inference_and_bad_cells_become_null(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,name\n1,x\nbad,y\n")
+    rows = sources.read_csv(spark, str(tmp_path), schema="id bigint, name string").collect()
+    assert sorted((r.id is None, r.name) for r in rows) == [(False, "x"), (True, "y")]
+    inferred = sources.read_csv(spark, str(tmp_path))
+    assert inferred.dtypes == [("id", "string"), ("name", "string")]
+
+
+def test_csv_inference(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,when\n1,2024-01-02\n2,2024-01-03\n")
+    assert sources.read_csv(spark, str(tmp_path)).dtypes == [("id", "int"), ("when", "date")]
+
+
+def test_csv_empty_table(spark, df, tmp_path):
+    path = sinks.write_csv(df.drop("tag").filter("id < 0"), str(tmp_path / "csv"))
+    assert sources.read_csv(spark, path, schema=FLAT).count() == 0
+
+
+def test_json_lines_roundtrip_leaves_nulls_out(spark, df, tmp_path):
+    path = sinks.write_json_lines(df, str(tmp_path / "json"))
+    assert same(sources.read_json_lines(spark, path, SCHEMA), df)
+    lines = [line for f in part_files(path) for line in f.read_text().splitlines()]
+    third = next(json.loads(line) for line in lines if '"id":3' in line)
+    assert set(third) == {"id", "name"}
+
+
+@pytest.mark.parametrize("pretty", [False, True])
+def test_json_array_files_are_valid_arrays(spark, df, tmp_path, pretty):
+    path = sinks.write_json_array(df, str(tmp_path / "array"), pretty)
+    arrays = [json.loads(f.read_text()) for f in part_files(path)]
+    assert all(isinstance(array, list) for array in arrays)
+    assert sum(map(len, arrays)) == len(ROWS)
+    assert "名" in "".join(f.read_text() for f in part_files(path))
+    assert same(sources.read_json_array(spark, path, SCHEMA), df)
+
+
+def test_json_array_single_file_on_request(spark, df, tmp_path):
+    path = sinks.write_json_array(df.coalesce(1), str(tmp_path / "array"))
+    (single,) = part_files(path)
+    assert len(json.loads(single.read_text())) == len(ROWS)
+
+
+def test_json_array_many_batches(spark, tmp_path):
+    numbers = spark.range(50_000).coalesce(1)
+    path = sinks.write_json_array(numbers, str(tmp_path / "array"))
+    (single,) = part_files(path)
+    assert [row["id"] for row in json.loads(single.read_text())] == list(range(50_000))
+
+
+def test_json_array_of_empty_table(spark, df, tmp_path):
+    sinks.write_csv(spark.range(3), str(tmp_path / "stored"))
+    stored = sources.read_csv(spark, str(tmp_path / "stored"), schema="id bigint")
+    path = sinks.write_json_array(stored.filter("id < 0"), str(tmp_path / "array"))
+    assert {f.read_text() for f in part_files(path)} == {"[]\n"}
+    assert sources.read_json_array(spark, path, "id bigint").count() == 0
+
+
+def test_json_array_without_any_partition(spark, df, tmp_path):
+    path = sinks.write_json_array(df.filter("id < 0"), str(tmp_path / "array"))
+    assert sources.read_json_array(spark, path, SCHEMA).count() == 0
+
+
+def test_json_array_source_reads_foreign_file(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[\n {"league": {"id": 7}, "x": 1},\n {"league": {"id": 8}}\n]')
+    rows = sources.read_json_array(spark, str(tmp_path))
+    assert rows.schema["league"].dataType.simpleString() == "struct<id:bigint>"
+    assert sorted(r.id for r in rows.select("league.id").collect()) == [7, 8]
+
+
+def test_json_document(spark, tmp_path):
+    document = {
+        "pipeline_version": "1.0",
+        "last_run": "2024-01-01T10:00:00Z",
+        "settings": {"batch_size": 1000, "retention_days": 30},
+    }
+    (tmp_path / "a.json").write_text(json.dumps(document, indent=2))
+    (tmp_path / "empty.json").write_text("")
+    (row,) = sources.read_json_document(spark, str(tmp_path)).collect()
+    assert row.asDict(recursive=True) == document
+
+
+def test_json_documents_roundtrip_one_file_each(spark, df, tmp_path):
+    path = sinks.write_json_documents(df, str(tmp_path / "docs"))
+    assert len(part_files(path)) == len(ROWS)
+    assert same(sources.read_json_document(spark, path, SCHEMA), df)
+
+
+def test_text_lines_and_files(spark, tmp_path):
+    texts = ["one", "two\nlines", "", " ünï 名 "]
+    df = spark.createDataFrame([(t,) for t in texts], "body string")
+    path = sinks.write_text(df, str(tmp_path / "lines"), "body")
+    lines = [r.value for r in sources.read_text_lines(spark, path).collect()]
+    assert sorted(lines) == sorted(["one", "two", "lines", "", " ünï 名 "])
+    path = sinks.write_text_files(df, str(tmp_path / "files"), "body")
+    whole = [r.value for r in sources.read_whole_text(spark, path).collect()]
+    assert sorted(whole) == sorted(t + "\n" for t in texts)
+
+
+def test_text_rows_per_file_writes_every_row(spark, tmp_path):
+    df = spark.range(1000).select(F.col("id").cast("string").alias("value")).coalesce(2)
+    path = sinks.write_text(df, str(tmp_path / "lines"), rows_per_file=64)
+    assert len(part_files(path)) == 16
+    assert sources.read_text_lines(spark, path).distinct().count() == 1000
+
+
+def test_whole_text_keeps_partition_columns(spark, tmp_path):
+    for league, season in [(140, 2022), (39, 2023)]:
+        folder = tmp_path / f"league={league}" / f"season={season}"
+        folder.mkdir(parents=True)
+        (folder / "response.json").write_text('{"results": 0,\n "response": []}')
+    rows = sources.read_whole_text(spark, str(tmp_path)).collect()
+    assert sorted((r.league, r.season) for r in rows) == [(39, 2023), (140, 2022)]
+    assert all(json.loads(r.value)["results"] == 0 for r in rows)
+
+
+def test_by_key_nested_key_keeps_it_in_the_file(spark, tmp_path):
+    rows = [((140, "a"), 1), ((39, "b"), 2), ((140, "a"), 3), ((5, "c"), 4), (None, 5)]
+    schema = "league struct<id: bigint, name: string>, n bigint"
+    df = spark.createDataFrame(rows, schema)
+    path = sinks.write_by_key(df, str(tmp_path / "out"), "league.id", "league_id")
+    folders = {p.parent.name for p in part_files(path)}
+    assert folders == {
+        "league_id=140",
+        "league_id=39",
+        "league_id=5",
+        "league_id=__HIVE_DEFAULT_PARTITION__",
+    }
+    back = sources.read_by_key(spark, path, f"{schema}, league_id bigint")
+    assert same(back, df.withColumn("league_id", F.col("league.id")))
+
+
+def test_by_key_listed_keys_only(spark, tmp_path):
+    df = spark.createDataFrame([(140, 1), (39, 2), (140, 3), (5, 4), (None, 5)], "k int, n int")
+    path = sinks.write_by_key(df, str(tmp_path / "out"), "k", "k", keys=[140, 39])
+    back = sources.read_by_key(spark, path, "n int, k int")
+    assert sorted((r.k, r.n) for r in back.collect()) == [(39, 2), (140, 1), (140, 3)]
+
+
+def test_by_key_of_empty_table(spark, tmp_path):
+    df = spark.createDataFrame([], "k int, n int")
+    path = sinks.write_by_key(df, str(tmp_path / "out"), "k", "k")
+    assert sources.read_by_key(spark, path, "n int, k int").count() == 0
+
+
+def test_inventory(spark, tmp_path):
+    base = tmp_path / "layer"
+    (base / "table" / "k=1").mkdir(parents=True)
+    (base / "table" / "k=1" / "part-0.json").write_text("12345")
+    (base / "table" / "part-1.txt").write_text("123")
+    (base / "note.txt").write_text("1")
+    (base / "_hidden").write_text("1")
+    rows = sources.file_inventory(spark, str(base)).collect()
+    assert sorted((r.name, r.size) for r in rows) == [
+        ("note.txt", 1),
+        ("part-0.json", 5),
+        ("part-1.txt", 3),
+    ]
+    assert all(r.path.endswith(r.name) for r in rows)
+    for root in (str(base), str(base) + "/", f"file://{base}"):
+        entries = sources.directory_entries(spark, root).collect()
+        assert sorted((e.name, e.is_dir, e.size) for e in entries) == [
+            ("note.txt", False, 1),
+            ("table", True, 8),
+        ]
+
+
+def test_inventory_of_missing_path_is_empty(spark, tmp_path):
+    assert sources.file_inventory(spark, str(tmp_path / "none")).count() == 0
+    assert sources.directory_entries(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_missing_file_raises(spark, tmp_path):
+    for read in (sources.read_csv, sources.read_json_array, sources.read_whole_text):
+        with pytest.raises(AnalysisException):
+            read(spark, str(tmp_path / "none"))
+
+
+def test_show_prints_rows(spark, capsys):
+    sinks.show(spark.range(30))
+    printed = capsys.readouterr().out
+    assert "only showing top 20 rows" in printed

@@ -22,14 +22,8 @@ def fn_regexp_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def fn_parse_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dates as text parse; other text (the priority) gives null."""
-    orders = table(spark, sf_dir, "orders")
-    texts = operators.exploded(
-        orders.select(
-            F.array(F.date_format("o_orderdate", "yyyy-MM-dd"), "o_orderpriority").alias("texts")
-        ),
-        "texts",
-        "text",
-    )
+    both = F.array(F.date_format("o_orderdate", "yyyy-MM-dd"), "o_orderpriority")
+    texts = operators.exploded(table(spark, sf_dir, "orders"), both, "text")
     dates = texts.select(functions.parsed_date("text", "yyyy-MM-dd").alias("order_date"))
     return operators.count_by_key(dates, "order_date", name="order_count")
 
@@ -66,10 +60,8 @@ def fn_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("select doc_id, unnest(string_split(text, chr(10))) as line from documents")
 def fn_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select(
-        "doc_id", F.split("text", "\n").alias("lines")
-    )
-    return operators.exploded(documents, "lines", "line")
+    documents = table(spark, sf_dir, "documents")
+    return operators.exploded(documents, F.split("text", "\n"), "line").select("doc_id", "line")
 
 
 @query(
@@ -81,12 +73,9 @@ def fn_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def fn_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     words_by_line = F.transform(F.split("text", "\n"), lambda line: F.split(line, " "))
-    words = table(spark, sf_dir, "documents").select(
-        functions.flattened(words_by_line).alias("words")
-    )
-    return operators.count_by_key(
-        operators.exploded(words, "words", "word"), "word", name="word_count"
-    )
+    documents = table(spark, sf_dir, "documents")
+    words = operators.exploded(documents, functions.flattened(words_by_line), "word")
+    return operators.count_by_key(words, "word", name="word_count")
 
 
 @query(
