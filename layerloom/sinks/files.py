@@ -21,14 +21,21 @@ def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite", **option
 
 
 def write_json_array(
-    df: DataFrame, path: str, pretty: bool = False, mode: str = "overwrite"
+    df: DataFrame,
+    path: str,
+    pretty: bool = False,
+    mode: str = "overwrite",
+    rows_per_file: int | None = 100_000,
 ) -> str:
     """Directory of part files that are each one valid JSON array; non-ASCII text is kept.
 
-    Every task streams its own partition into its own array, so there are as many files
-    as partitions, no shuffle and no gathered group. An empty partition gives ``[]``; where
-    Spark finds the whole input empty and runs no partition, it leaves one empty file. A
-    caller who needs a single file passes ``df.coalesce(1)`` and bears that cost.
+    Every task streams its own partition into arrays of ``rows_per_file`` elements, one per
+    file: no shuffle and no gathered group, and files stay small enough for readers that
+    take an array whole. An empty partition gives ``[]``; where Spark finds the whole input
+    empty and runs no partition, it leaves one empty file.
+
+    ``rows_per_file=None`` makes one array per partition. A caller who needs a single file
+    also passes ``df.coalesce(1)`` and bears that cost.
     """
     elements = df.select(json_text(F.struct("*"), pretty).alias("value"))
 
@@ -36,19 +43,33 @@ def write_json_array(
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        opening = "["
+        def lines(texts):
+            return pa.RecordBatch.from_arrays([texts], ["value"])
+
+        in_file = None  # elements in the open array, None before the first element
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            texts = batch.column(0)
-            lead = pa.array([opening] + [","] * (len(texts) - 1), texts.type)
-            opening = ","
-            lines = pc.binary_join_element_wise(lead, texts, pa.scalar("", texts.type))
-            yield pa.RecordBatch.from_arrays([lines], ["value"])
-        closing = "[]" if opening == "[" else "]"
-        yield pa.RecordBatch.from_arrays([pa.array([closing])], ["value"])
-
-    elements.mapInArrow(bracketed, "value string").write.mode(mode).text(path)
+            rest = batch.column(0)
+            while len(rest):
+                room = len(rest) if rows_per_file is None else rows_per_file - (in_file or 0)
+                texts, rest = rest[:room], rest[room:]
+                lead = pa.array([","] * len(texts), texts.type)
+                if not in_file:
+                    lead = pa.concat_arrays([pa.array(["["], texts.type), lead[1:]])
+                yield lines(pc.binary_join_element_wise(lead, texts, pa.scalar("", texts.type)))
+                in_file = (in_file or 0) + len(texts)
+                if in_file == rows_per_file:
+                    yield lines(pa.array(["]"]))
+                    in_file = 0
+        if in_file is None:
+            yield lines(pa.array(["[]"]))
+        elif in_file:
+            yield lines(pa.array(["]"]))
+
+    writer = elements.mapInArrow(bracketed, "value string").write.mode(mode)
+    if rows_per_file is not None:
+        # A full array is its elements and the line of its closing bracket.
+        writer = writer.option("maxRecordsPerFile", rows_per_file + 1)
+    writer.text(path)
     return path
 
 

@@ -18,16 +18,18 @@ def write_layer(
     mode: str = "overwrite",
     partition_by: Sequence[str] = (),
     cluster: bool = True,
+    format: str | None = None,
 ) -> str:
     """Store a layered table and return its path. ``mode`` is any Spark save mode.
 
     With ``partition_by``, rows are first clustered by those columns (see
     :func:`clustered`); ``cluster=False`` saves that shuffle when there are few partitions.
+    ``format`` overrides the configured one for this table.
     """
     path = config.layer_path(layer, table)
     if partition_by and cluster:
         df = clustered(df, *partition_by)
-    writer = df.write.mode(mode).format(config.format)
+    writer = df.write.mode(mode).format(format or config.format)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)

@@ -12,12 +12,15 @@ def read_layer(
     layer: str,
     table: str,
     schema: StructType | None = None,
+    format: str | None = None,
 ) -> DataFrame:
     """Scan a layered table; a missing one raises Spark's ``PATH_NOT_FOUND``.
 
     A known ``schema`` saves the footer-reading job of Parquet. Delta keeps its own.
+    ``format`` is for a table stored in another format than the configured one.
     """
-    reader = spark.read.format(config.format)
-    if schema is not None and config.format != "delta":
+    stored_as = format or config.format
+    reader = spark.read.format(stored_as)
+    if schema is not None and stored_as != "delta":
         reader = reader.schema(schema)
     return reader.load(config.layer_path(layer, table))

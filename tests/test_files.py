@@ -89,7 +89,7 @@ def test_json_array_files_are_valid_arrays(spark, df, tmp_path, pretty):
 
 
 def test_json_array_single_file_on_request(spark, df, tmp_path):
-    path = sinks.write_json_array(df.coalesce(1), str(tmp_path / "array"))
+    path = sinks.write_json_array(df.coalesce(1), str(tmp_path / "array"), rows_per_file=None)
     (single,) = part_files(path)
     assert len(json.loads(single.read_text())) == len(ROWS)
 
@@ -101,6 +101,18 @@ def test_json_array_many_batches(spark, tmp_path):
     assert [row["id"] for row in json.loads(single.read_text())] == list(range(50_000))
 
 
+@pytest.mark.parametrize("pretty", [False, True])
+@pytest.mark.parametrize("rows, per_file, files", [(25_000, 7_000, 4), (100, 50, 2), (3, 1, 3), (5, 5, 1)])
+def test_json_array_files_are_bounded(spark, tmp_path, rows, per_file, files, pretty):
+    numbers = spark.range(rows).coalesce(1)
+    path = sinks.write_json_array(numbers, str(tmp_path / "array"), pretty, rows_per_file=per_file)
+    arrays = [json.loads(f.read_text()) for f in part_files(path)]
+    assert len(arrays) == files
+    assert max(map(len, arrays)) == min(rows, per_file)
+    assert sorted(row["id"] for array in arrays for row in array) == list(range(rows))
+    assert sources.read_json_array(spark, path, "id bigint").distinct().count() == rows
+
+
 def test_json_array_of_empty_table(spark, df, tmp_path):
     sinks.write_csv(spark.range(3), str(tmp_path / "stored"))
     stored = sources.read_csv(spark, str(tmp_path / "stored"), schema="id bigint")

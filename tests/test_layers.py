@@ -170,3 +170,11 @@ def test_config_on_adls():
 def test_config_is_immutable():
     with pytest.raises(AttributeError):
         LayerConfig("/data").base_path = "/other"
+
+
+@pytest.mark.parametrize("format", ["orc", "json"])
+def test_table_in_another_format(spark, config, format):
+    raw = literal_rows(spark, CUSTOMER_ROWS, SCHEMA)
+    write_layer(raw, config, "bronze", "t", partition_by=["status"], format=format)
+    stored = read_layer(spark, config, "bronze", "t", raw.schema, format=format)
+    assert sorted(map(repr, stored.collect())) == sorted(map(repr, raw.select(stored.columns).collect()))

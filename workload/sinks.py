@@ -74,11 +74,18 @@ def write_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_json_lines(spark, path, customers.schema)
 
 
-@query("select * from benchmark")
+@query(
+    """select source, count(*) as document_count, max(n_chars) as longest
+       from documents group by 1"""
+)
 def write_json_documents_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = table(spark, sf_dir, "benchmark")
-    path = sinks.write_json_documents(items, new_run_dir(spark, "write_json_documents_roundtrip"))
-    return sources.read_json_document(spark, path, items.schema)
+    """A JSON document per source."""
+    reports = table(spark, sf_dir, "documents").groupBy("source").agg(
+        F.count("*").alias("document_count"), F.max("n_chars").alias("longest")
+    )
+    path = new_run_dir(spark, "write_json_documents_roundtrip")
+    sinks.write_json_documents(reports, path)
+    return sources.read_json_document(spark, path, reports.schema)
 
 
 @query(
@@ -92,10 +99,16 @@ def write_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_by_key(lines.withColumnRenamed("value", "line"), "line", name="line_count")
 
 
-@query("select text || chr(10) as value from benchmark")
+@query(
+    """select event_type || chr(10) || count(*) || ' events' || chr(10) as value
+       from events group by event_type"""
+)
 def write_text_files_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A text file of two lines per event type."""
+    counts = count_by_key(table(spark, sf_dir, "events"), "event_type")
+    report = F.concat("event_type", F.lit("\n"), F.col("row_count").cast("string"), F.lit(" events"))
     path = new_run_dir(spark, "write_text_files_roundtrip")
-    sinks.write_text_files(table(spark, sf_dir, "benchmark"), path, "text")
+    sinks.write_text_files(counts.select(report.alias("report")), path, "report")
     return sources.read_whole_text(spark, path)
 
 
