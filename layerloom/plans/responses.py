@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -52,7 +52,7 @@ def export_by_key(
     table: str,
     key: Column | str,
     name: str,
-    keys: Iterable[Any] | None = None,
+    keys: Sequence[Any] | None = None,
 ) -> str:
     """Elements of typed responses as JSON Lines, one directory per key, in one pass."""
     fields = elements.select(F.col("element.*"))

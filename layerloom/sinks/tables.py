@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from layerloom.config import LayerConfig
 from layerloom.functions.json import LOSSLESS_TIME
 
+# Up to this many directories, a task may write to all of them without a shuffle before.
+FEW_KEYS = 16
+
 
 def write_layer(
     df: DataFrame,
@@ -41,19 +44,29 @@ def write_by_key(
     path: str,
     key: Column | str,
     name: str,
-    keys: Iterable[Any] | None = None,
+    keys: Sequence[Any] | None = None,
     format: str = "json",
     mode: str = "overwrite",
+    cluster: bool | None = None,
 ) -> str:
     """Export each key's rows to a directory of its own, ``<path>/<name>=<key>``.
 
     All keys are written in one pass. ``key`` may be a nested field (``league.id``); the
     files keep it, the directory repeats it as ``name``. ``keys`` limits the export to
     those listed, without it every key is exported.
+
+    Rows are clustered by key first (see :func:`clustered`), unless at most ``FEW_KEYS`` are
+    listed: each task then writes its few files directly and nothing is shuffled.
+    ``cluster`` decides it by hand.
     """
     value = F.col(key) if isinstance(key, str) else key
-    chosen = df if keys is None else df.filter(value.isin(list(keys)))
-    keyed = clustered(chosen.withColumn(name, value), name)
+    if keys is not None:
+        df = df.filter(value.isin(list(keys)))
+    keyed = df.withColumn(name, value)
+    if cluster is None:
+        cluster = keys is None or len(keys) > FEW_KEYS
+    if cluster:
+        keyed = clustered(keyed, name)
     keyed.write.mode(mode).options(**LOSSLESS_TIME).partitionBy(name).format(format).save(path)
     return path
 

@@ -153,6 +153,13 @@ def test_hot_key_is_split_over_tasks_and_kept_whole(spark, skewed, small_targets
     assert counts[0] == 20_000
 
 
+def test_few_listed_keys_are_written_without_a_shuffle(spark, skewed, tmp_path):
+    path = sinks.write_by_key(skewed, str(tmp_path / "out"), "k", "k", keys=[0, 1])
+    assert files_per_key(path)["k=0"] == 16
+    back = sources.read_by_key(spark, path, "n bigint, text string, k bigint")
+    assert back.count() == skewed.filter("k in (0, 1)").count()
+
+
 def test_hot_partition_of_a_layer_is_split(spark, skewed, small_targets, config):
     path = sinks.write_layer(skewed, config, "bronze", "t", partition_by=["k"])
     assert files_per_key(path)["k=0"] > 1

@@ -15,17 +15,22 @@ def fn_regexp_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """select cast(o_orderdate as date) as order_date, count(*) as order_count
-       from orders group by 1
-       union all
-       select null, count(*) from orders"""
+    """select cast(o_orderdate as date) as order_date, count(*) as order_count,
+              count(*) as null_count
+       from orders group by 1"""
 )
 def fn_parse_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dates as text parse; other text (the priority) gives null."""
-    both = F.array(F.date_format("o_orderdate", "yyyy-MM-dd"), "o_orderpriority")
-    texts = operators.exploded(table(spark, sf_dir, "orders"), both, "text")
-    dates = texts.select(functions.parsed_date("text", "yyyy-MM-dd").alias("order_date"))
-    return operators.count_by_key(dates, "order_date", name="order_count")
+    """Dates as text parse; other text (the priority) gives null, so it is counted as null."""
+    dates = table(spark, sf_dir, "orders").select(
+        functions.parsed_date(F.date_format("o_orderdate", "yyyy-MM-dd"), "yyyy-MM-dd").alias(
+            "order_date"
+        ),
+        functions.parsed_date("o_orderpriority", "yyyy-MM-dd").alias("no_date"),
+    )
+    return dates.groupBy("order_date").agg(
+        F.count("*").alias("order_count"),
+        F.count_if(F.col("no_date").isNull()).alias("null_count"),
+    )
 
 
 @query(

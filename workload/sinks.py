@@ -22,7 +22,9 @@ def write_layer_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def write_layer_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     config = fresh_config(spark, "write_layer_partitioned")
-    sinks.write_layer(events, config, "bronze", "events", partition_by=["event_type"])
+    sinks.write_layer(
+        events, config, "bronze", "events", partition_by=["event_type"], cluster=False
+    )
     stored = sources.read_layer(spark, config, "bronze", "events", events.schema)
     return where_equal(stored, "event_type", "error")
 

@@ -144,9 +144,10 @@ def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
        from orders group by 1"""
 )
 def directory_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders")
     config = fresh_config(spark, "directory_entries")
     path = sinks.write_layer(
-        table(spark, sf_dir, "orders"), config, "bronze", "orders", partition_by=["o_orderstatus"]
+        orders, config, "bronze", "orders", partition_by=["o_orderstatus"], cluster=False
     )
     entries = sources.directory_entries(spark, path)
     return entries.select("name", "is_dir", (F.col("size") > 0).alias("has_bytes"))
