@@ -5,12 +5,20 @@ from pyspark.sql import functions as F
 
 from layerloom.functions.json import LOSSLESS_TIME, json_text
 
+KEEP_WHITE_SPACE = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
 
 def write_csv(
     df: DataFrame, path: str, header: bool = True, mode: str = "overwrite", **options: str
 ) -> str:
-    """Directory of CSV part files."""
-    df.write.mode(mode).options(**{**LOSSLESS_TIME, **options}).option("header", header).csv(path)
+    """Directory of CSV part files.
+
+    Values keep their outer white space, which Spark would cut by default. CSV does not tell
+    an empty string from a null: both read back as null. To read values with line breaks,
+    pass ``multiLine="true"`` to the reader, which then takes a file in one task.
+    """
+    settings = {**LOSSLESS_TIME, **KEEP_WHITE_SPACE, **options}
+    df.write.mode(mode).options(**settings).option("header", header).csv(path)
     return path
 
 

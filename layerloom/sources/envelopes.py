@@ -12,9 +12,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, LongType, StringType, StructType
-
-from layerloom.functions.text import is_blank
+from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
+    DataType,
+    LongType,
+    StringType,
+    StructType,
+)
 
 _CORRUPT = "_corrupt_record"
 
@@ -33,8 +38,10 @@ def rejected(
     landed: DataFrame, body: str = "body", element: DataType | str | None = None
 ) -> DataFrame:
     """The requests whose body is missing, blank, not JSON or of another shape."""
-    return _parsed(landed, body, element).filter(_unreadable()).select(
-        *_parameters(landed, body), F.col("_body").alias("rejected_body")
+    # A filter would be moved below the parse and repeat it for each of its conditions.
+    return _parsed(landed, body, element).select(
+        *_parameters(landed, body),
+        F.explode(F.when(_unreadable(), F.array("_body"))).alias("rejected_body"),
     )
 
 
@@ -64,7 +71,14 @@ def opened(
 
 
 def _parsed(landed: DataFrame, body: str, element: DataType | str | None) -> DataFrame:
-    envelope = F.from_json(body, _envelope_schema(element), {"columnNameOfCorruptRecord": _CORRUPT})
+    """Beside the parameters: the ``_body`` as it is and the ``_envelope`` read from it.
+
+    Spark's parser stops after the first value and ignores what follows. Inside a list with
+    an end mark behind it, a body that is cut, doubled or followed by anything shows.
+    """
+    text = F.concat(F.lit('{"body": ['), body, F.lit('], "end": true}'))
+    options = {"columnNameOfCorruptRecord": _CORRUPT, "allowSingleQuotes": "false"}
+    envelope = F.from_json(text, _envelope_schema(element), options)
     return landed.select(
         *_parameters(landed, body), F.col(body).alias("_body"), envelope.alias("_envelope")
     )
@@ -75,12 +89,21 @@ def _parameters(landed: DataFrame, body: str) -> list[str]:
 
 
 def _unreadable() -> Column:
-    corrupt = F.col(f"_envelope.{_CORRUPT}").isNotNull()
-    return F.col("_body").isNull() | is_blank("_body") | corrupt
+    one_object = (
+        F.col(f"_envelope.{_CORRUPT}").isNull()
+        & F.col("_envelope.end")
+        & (F.size("_envelope.body") == 1)
+        & _only_body().isNotNull()
+    )
+    return ~F.coalesce(one_object, F.lit(False))
+
+
+def _only_body() -> Column:
+    return F.get("_envelope.body", F.lit(0))
 
 
 def _elements() -> Column:
-    return F.when(F.col("_envelope.results") != 0, F.col("_envelope.response"))
+    return F.when(_only_body()["results"] != 0, _only_body()["response"])
 
 
 def _envelope_schema(element: DataType | str | None) -> StructType:
@@ -88,9 +111,10 @@ def _envelope_schema(element: DataType | str | None) -> StructType:
         element = StringType()
     elif isinstance(element, str):
         element = StructType.fromDDL(element)
+    body = StructType().add("results", LongType()).add("response", ArrayType(element))
     return (
         StructType()
-        .add("results", LongType())
-        .add("response", ArrayType(element))
+        .add("body", ArrayType(body))
+        .add("end", BooleanType())
         .add(_CORRUPT, StringType())
     )

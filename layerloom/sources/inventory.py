@@ -30,20 +30,23 @@ def file_inventory(spark: SparkSession, path: str) -> DataFrame:
 
 
 def directory_entries(spark: SparkSession, path: str) -> DataFrame:
-    """Direct children of ``path``: ``name``, ``size`` and ``is_dir``.
+    """Direct children of ``path``: ``name``, ``path``, ``size`` and ``is_dir``.
 
     A directory's size is the sum of the data files below it; one without any has no row.
     """
     root = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", path).rstrip("/") + "/"
     start = F.instr("path", F.lit(root)) + F.lit(len(root))
     below = F.substr("path", start)
+    name = F.substring_index(below, "/", 1)
     return (
         file_inventory(spark, path)
         .select(
-            F.substring_index(below, "/", 1).alias("name"),
+            name.alias("name"),
+            F.concat(F.substr("path", F.lit(1), start - 1), name).alias("path"),
             F.contains(below, F.lit("/")).alias("is_dir"),
             "size",
         )
-        .groupBy("name", "is_dir")
+        .groupBy("name", "path", "is_dir")
         .agg(F.sum("size").alias("size"))
+        .select("name", "path", "size", "is_dir")
     )

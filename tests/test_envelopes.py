@@ -27,6 +27,21 @@ BAD = [
     (14, "[1, 2]"),
     (15, '{"results": 1, "response": [{"league"'),
     (16, '{"results": 1, "response": {"a": 1}}'),
+    (17, '{"results": 1, "response": [{}]} trailing'),
+    (18, '{"results": 1, "response": [{}]}{"results": 1, "response": [{}]}'),
+    (19, '{"results": 1, "response": [{}]}\n{"results": 1, "response": [{}]}'),
+    (20, '{"results": 1, "response": [{}]},{"results": 1, "response": [{}]}'),
+    (21, '{"results": 1, "response": [{}]}}'),
+    (22, '{"results": 1, "response": [{}]}]'),
+    (23, '{"results": 1, "response": [{}]}]}'),
+    (24, "{'results': 1, 'response': [{}]}"),
+    (25, "null"),
+    (26, "[]"),
+    (27, '[{"results": 1, "response": [{}]}]'),
+    (28, "7"),
+    (29, '"text"'),
+    (30, "true"),
+    (31, '{"results": "1", "response": [{}]}'),
 ]
 ELEMENT = "league struct<id: bigint>, n bigint"
 

@@ -44,6 +44,14 @@ def test_csv_roundtrip(spark, df, tmp_path):
     assert same(sources.read_csv(spark, path, schema=FLAT), flat)
 
 
+@pytest.mark.parametrize("text", [" lead", "trail\t", "a,b\\", 'x\\"y', "\\", '"', "two\nlines", "cr\rlf", "#"])
+def test_csv_keeps_odd_text(spark, tmp_path, text):
+    df = spark.createDataFrame([(1, text, 2)], "a int, s string, b int")
+    path = sinks.write_csv(df, str(tmp_path / "csv"))
+    back = sources.read_csv(spark, path, schema=df.schema, multiLine="true")
+    assert [tuple(r) for r in back.collect()] == [(1, text, 2)]
+
+
 def test_csv_without_header(spark, df, tmp_path):
     flat = df.drop("tag").filter("id <> 3")
     path = sinks.write_csv(flat, str(tmp_path / "csv"), header=False)
@@ -228,6 +236,8 @@ def test_inventory(spark, tmp_path):
             ("note.txt", False, 1),
             ("table", True, 8),
         ]
+        assert {e.path for e in entries} == {f"file:{base}/note.txt", f"file:{base}/table"}
+        assert entries[0].asDict().keys() == {"name", "path", "size", "is_dir"}
 
 
 def test_inventory_of_missing_path_is_empty(spark, tmp_path):
