@@ -1,7 +1,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -19,7 +18,15 @@ def request_grid(ids: DataFrame, name: str, values: Sequence[Any]) -> DataFrame:
 
 
 def union_all(slices: Sequence[DataFrame]) -> DataFrame:
-    """All rows of all slices, matched by column name; duplicates stay."""
+    """All rows of all slices, matched by column name; duplicates stay.
+
+    Slices are joined in pairs, so that the plan of many slices stays shallow.
+    """
     if not slices:
         raise ValueError("slices must not be empty")
-    return reduce(lambda left, right: left.unionByName(right), slices)
+    level = list(slices)
+    while len(level) > 1:
+        pairs = zip(level[::2], level[1::2])
+        odd = level[-1:] if len(level) % 2 else []
+        level = [left.unionByName(right) for left, right in pairs] + odd
+    return level[0]

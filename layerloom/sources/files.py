@@ -53,6 +53,14 @@ def read_whole_text(spark: SparkSession, path: Paths, **options: str) -> DataFra
     return spark.read.options(**options).text(path, wholetext=True)
 
 
+def read_landed(spark: SparkSession, path: Paths) -> DataFrame:
+    """Landed responses, one file each: the ``body`` and the request's parameters.
+
+    The parameters are the folder names, as in ``league=140/season=2023/response.json``.
+    """
+    return read_whole_text(spark, path).withColumnRenamed("value", "body")
+
+
 def read_text_lines(spark: SparkSession, path: Paths, **options: str) -> DataFrame:
     """One row per line, in ``value``."""
     return spark.read.options(**options).text(path)

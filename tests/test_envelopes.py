@@ -110,3 +110,23 @@ def test_store_and_export(spark, landed, config):
         (140, 3, 140),
         (140, 3, 140),
     ]
+
+
+def test_landed_files_to_exports(spark, config, tmp_path):
+    bodies = {
+        (140, 2023): '{"results": 2,\n "response": [{"league": {"id": 140}, "n": 1}, {"league": {"id": 140}, "n": 2}]}',
+        (39, 2023): '{"results": 1, "response": [{"league": {"id": 39}, "n": 3}]}\n',
+        (45, 2023): '{"results": 0, "response": []}',
+        (2, 2023): "<html>429</html>",
+    }
+    for (league, season), body in bodies.items():
+        folder = tmp_path / f"league={league}" / f"season={season}"
+        folder.mkdir(parents=True)
+        (folder / "response.json").write_text(body)
+    landed = sources.read_landed(spark, str(tmp_path))
+    schema = store_responses(landed, config, "games", element=ELEMENT)
+    assert [(r.league, r.season, r.rejected_body) for r in stored_rejects(spark, config, "games", schema).collect()] == [(2, 2023, "<html>429</html>")]
+    elements = stored_elements(spark, config, "games", schema)
+    path = export_by_key(elements, config, "games_by_league", "league.id", "league_id")
+    back = sources.read_by_key(spark, path, f"{ELEMENT}, league_id bigint").collect()
+    assert sorted((r.league_id, r.n) for r in back) == [(39, 3), (140, 1), (140, 2)]

@@ -14,6 +14,7 @@ from layerloom.sinks import write_layer
 from layerloom.sources import literal_rows, read_layer
 
 SCHEMA = "id string, name string, email string, created_date string, status string"
+# The sample customers.
 CUSTOMER_ROWS = [
     ("1", "John Doe", "john@email.com", "2024-01-01", "active"),
     ("2", "Jane Smith", "jane@email.com", "2024-01-02", "inactive"),

@@ -116,7 +116,9 @@ def test_non_blank(spark):
 
 
 def test_request_grid_golden(spark):
-    ids = spark.createDataFrame([(i,) for i in (140, 39, 45, 2, 3, 143, 135)], "league_id int")
+    # The requested leagues and seasons.
+    leagues = (140, 39, 45, 2, 3, 143, 135)
+    ids = spark.createDataFrame([(i,) for i in leagues], "league_id int")
     grid = operators.request_grid(ids, "season", [2022, 2023])
     rows = {tuple(r) for r in grid.collect()}
     assert len(rows) == grid.count() == 14
@@ -134,6 +136,12 @@ def test_union_all_by_name_with_duplicates(spark):
         operators.union_all([])
 
 
+@pytest.mark.parametrize("count", [1, 2, 3, 7, 300])
+def test_union_all_of_many_slices(spark, count):
+    slices = [spark.range(i, i + 1) for i in range(count)]
+    assert sorted(column(operators.union_all(slices))) == list(range(count))
+
+
 def test_limits(spark):
     df = spark.range(100).withColumn("name", F.concat(F.lit("f"), F.col("id").cast("string")))
     assert column(operators.first_n(df, 5, F.desc("id"))) == [99, 98, 97, 96, 95]

@@ -17,7 +17,8 @@ from __spark_entry__ import oracle_sql, queries
 def duck(sf_dir):
     connection = duckdb.connect()
     for path in sorted(Path(sf_dir).glob("*.parquet")):
-        connection.execute(f"create view {path.stem} as select * from '{path}'")
+        files = f"{path}/*.parquet" if path.is_dir() else path
+        connection.execute(f"create view {path.stem} as select * from '{files}'")
     yield connection
     connection.close()
 
