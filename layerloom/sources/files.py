@@ -34,14 +34,21 @@ def read_json_lines(
 def read_json_array(
     spark: SparkSession, path: Paths, schema: Schema | None = None, **options: str
 ) -> DataFrame:
-    """Each file is one JSON array and each of its elements one row."""
+    """Each file is one JSON array and each of its elements one row.
+
+    One task takes a whole file, and Spark reads only its first array.
+    """
     return _json(spark, path, schema, {"multiLine": "true", **options})
 
 
 def read_json_document(
     spark: SparkSession, path: Paths, schema: Schema | None = None, **options: str
 ) -> DataFrame:
-    """Each file is one JSON object and gives one row; an empty file gives none."""
+    """Each file is one JSON object and gives one row; an empty file gives none.
+
+    Spark reads only the first object of a file: files of many belong to
+    :func:`read_json_lines`.
+    """
     return _json(spark, path, schema, {"multiLine": "true", **options})
 
 

@@ -56,6 +56,16 @@ def test_nested_field_is_pruned_and_its_filter_pushed(explained):
     assert "o_totalprice" not in text
 
 
+def test_name_filters_reach_the_scan(explained):
+    text = explained("filter_prefix_suffix")
+    assert "StringStartsWith(p_name,red)" in text
+    assert "StringEndsWith(p_name,widget)" in text
+
+
+def test_count_reads_no_column(explained):
+    assert "ReadSchema: struct<>" in explained("count_rows")
+
+
 def test_partition_filter_prunes_directories(explained):
     text = explained("write_layer_partitioned")
     assert re.search(r"PartitionFilters: \[.*event_type.* = error", text)
