@@ -1,7 +1,21 @@
 """Whole flows, composed of the library's operators, sources and sinks."""
 
-from layerloom.plans.layers import CUSTOMERS, CleanRules, LayerFlow, MetricRules, bronze, gold, run, silver
-from layerloom.plans.responses import export_by_key, store_responses, stored_elements, stored_rejects
+from layerloom.plans.layers import (
+    CUSTOMERS,
+    CleanRules,
+    LayerFlow,
+    MetricRules,
+    bronze,
+    gold,
+    run,
+    silver,
+)
+from layerloom.plans.responses import (
+    export_by_key,
+    store_responses,
+    stored_elements,
+    stored_rejects,
+)
 
 __all__ = [
     "CUSTOMERS",

@@ -79,4 +79,4 @@ def clustered(df: DataFrame, *columns: str) -> DataFrame:
     it one task would get a whole hot key, so the rows then stay where they are.
     """
     adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true")
-    return df.hint("rebalance", *columns) if adaptive == "true" else df
+    return df.hint("rebalance", *columns) if adaptive.lower() == "true" else df

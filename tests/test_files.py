@@ -11,7 +11,8 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from layerloom import sinks, sources
+from layerloom import operators, sinks, sources
+from layerloom.fixed_values import JSON_SUFFIX, PART_FILE_PREFIX, TEXT_SUFFIX
 
 SCHEMA = "id bigint, name string, seen timestamp_ntz, tag struct<a: bigint, b: string>"
 ROWS = [
@@ -240,6 +241,19 @@ def test_inventory(spark, tmp_path):
         assert entries[0].asDict().keys() == {"name", "path", "size", "is_dir"}
 
 
+def test_inventory_finds_the_part_files_of_exports(spark, tmp_path):
+    df = spark.range(100).select(F.col("id").cast("string").alias("value")).repartition(4)
+    sinks.write_json_lines(df, str(tmp_path / "out" / "json"))
+    sinks.write_text(df, str(tmp_path / "out" / "text"))
+    files = sources.file_inventory(spark, str(tmp_path / "out"))
+    for suffix in (JSON_SUFFIX, TEXT_SUFFIX):
+        named = operators.named_like(files, "name", PART_FILE_PREFIX, suffix)
+        assert named.count() == 4
+        first = operators.first_match(named, F.col("size") > 0, "name").first()
+        assert first.name == min(r.name for r in named.collect())
+    assert files.count() == 8
+
+
 def test_inventory_of_missing_path_is_empty(spark, tmp_path):
     assert sources.file_inventory(spark, str(tmp_path / "none")).count() == 0
     assert sources.directory_entries(spark, str(tmp_path / "none")).count() == 0

@@ -3,6 +3,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from layerloom import sinks, sources
 from layerloom.plans import (
     CleanRules,
     LayerFlow,
@@ -16,7 +17,7 @@ from layerloom.plans import (
     stored_elements,
     stored_rejects,
 )
-from layerloom import sinks, sources
+from layerloom.workspace import new_run_dir
 from workload.registry import fresh_config, query, table
 from workload.sources import ELEMENT, landed_responses
 
@@ -131,3 +132,16 @@ def responses_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = export_by_key(keyed, config, "lines_by_lang", "lang", "lang")
     stored = sources.read_by_key(spark, path, f"{ELEMENT}, lang string")
     return stored.select("lang", "league.id", "position", "line")
+
+
+@query(
+    """select lang, doc_id as id, unnest(range(len(lines))) as position, unnest(lines) as line
+       from (select lang, doc_id, string_split(text, chr(10)) as lines from documents)"""
+)
+def responses_to_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All requests' elements in one JSON array dataset, beside the request's parameter."""
+    rows = sources.accepted(landed_responses(spark, sf_dir), element=ELEMENT)
+    flat = rows.select("lang", "element.*")
+    path = sinks.write_json_array(flat, new_run_dir(spark, "responses_to_json_array"))
+    stored = sources.read_json_array(spark, path, flat.schema)
+    return stored.select("lang", "league.id", "position", "line")
