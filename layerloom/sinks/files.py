@@ -45,6 +45,8 @@ def write_json_array(
     ``rows_per_file=None`` makes one array per partition. A caller who needs a single file
     also passes ``df.coalesce(1)`` and bears that cost.
     """
+    if rows_per_file is not None and rows_per_file < 1:
+        raise ValueError("rows_per_file must be at least 1")
     elements = df.select(json_text(F.struct("*"), pretty).alias("value"))
 
     def bracketed(batches):
@@ -55,29 +57,29 @@ def write_json_array(
             return pa.RecordBatch.from_arrays([texts], ["value"])
 
         in_file = None  # elements in the open array, None before the first element
+        string = pa.string()
         for batch in batches:
             rest = batch.column(0)
+            string = rest.type
             while len(rest):
                 room = len(rest) if rows_per_file is None else rows_per_file - (in_file or 0)
                 texts, rest = rest[:room], rest[room:]
-                lead = pa.array([","] * len(texts), texts.type)
-                if not in_file:
-                    lead = pa.concat_arrays([pa.array(["["], texts.type), lead[1:]])
-                yield lines(pc.binary_join_element_wise(lead, texts, pa.scalar("", texts.type)))
+                opening = "," if in_file else "["
+                lead = pa.array([opening] + [","] * (len(texts) - 1), string)
+                yield lines(pc.binary_join_element_wise(lead, texts, pa.scalar("", string)))
                 in_file = (in_file or 0) + len(texts)
                 if in_file == rows_per_file:
-                    yield lines(pa.array(["]"]))
+                    yield lines(pa.array(["]"], string))
                     in_file = 0
         if in_file is None:
-            yield lines(pa.array(["[]"]))
+            yield lines(pa.array(["[]"], string))
         elif in_file:
-            yield lines(pa.array(["]"]))
+            yield lines(pa.array(["]"], string))
 
-    writer = elements.mapInArrow(bracketed, "value string").write.mode(mode)
-    if rows_per_file is not None:
-        # A full array is its elements and the line of its closing bracket.
-        writer = writer.option("maxRecordsPerFile", rows_per_file + 1)
-    writer.text(path)
+    # A full array is its elements and the line of its closing bracket; 0 is no bound.
+    lines_per_file = 0 if rows_per_file is None else rows_per_file + 1
+    arrays = elements.mapInArrow(bracketed, "value string")
+    arrays.write.mode(mode).option("maxRecordsPerFile", lines_per_file).text(path)
     return path
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -22,9 +23,12 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError(f"set {SHARED_DIR_SETTING} to a folder shared by the cluster")
-    made = tempfile.mkdtemp(prefix="layerloom-")
-    spark.conf.set(SHARED_DIR_SETTING, made)
-    return made
+    return _local_dir()
+
+
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="layerloom-")
 
 
 def new_run_dir(spark: SparkSession, name: str) -> str:

@@ -103,6 +103,22 @@ def test_json_array_single_file_on_request(spark, df, tmp_path):
     assert len(json.loads(single.read_text())) == len(ROWS)
 
 
+def test_json_array_ignores_the_session_file_bound(spark, tmp_path):
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 10)
+    try:
+        numbers = spark.range(95).coalesce(1)
+        path = sinks.write_json_array(numbers, str(tmp_path / "array"), rows_per_file=None)
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    (single,) = part_files(path)
+    assert len(json.loads(single.read_text())) == 95
+
+
+def test_json_array_bound_must_be_positive(spark, tmp_path):
+    with pytest.raises(ValueError):
+        sinks.write_json_array(spark.range(1), str(tmp_path / "array"), rows_per_file=0)
+
+
 def test_json_array_many_batches(spark, tmp_path):
     numbers = spark.range(50_000).coalesce(1)
     path = sinks.write_json_array(numbers, str(tmp_path / "array"))

@@ -1,9 +1,16 @@
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 from layerloom import workspace
 
+ROOT = Path(__file__).resolve().parent.parent
+
 
 class FakeConf:
     def __init__(self, values):
@@ -12,9 +19,6 @@ class FakeConf:
     def get(self, name, default=None):
         return self.values.get(name, default)
 
-    def set(self, name, value):
-        self.values[name] = value
-
 
 class FakeSession:
     def __init__(self, **values):
@@ -37,3 +41,21 @@ def test_cluster_without_setting_is_an_error():
 def test_local_mode_makes_its_own_once():
     session = FakeSession(spark_master="local[2]")
     assert workspace.shared_dir(session) == workspace.shared_dir(session)
+
+
+def test_real_local_session_without_setting(tmp_path):
+    program = """
+from pyspark.sql import SparkSession
+from layerloom import workspace
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
+path = workspace.new_run_dir(spark, "job")
+spark.range(3).write.parquet(path)
+print(spark.read.parquet(path).count(), workspace.shared_dir(spark))
+"""
+    environment = {**os.environ, "SPARK_CONF_DIR": str(tmp_path), "PYTHONPATH": str(ROOT)}
+    done = subprocess.run(
+        [sys.executable, "-c", program], capture_output=True, text=True, env=environment, timeout=120
+    )
+    assert done.returncode == 0, done.stderr
+    assert done.stdout.split()[0] == "3"
+    assert "layerloom-" in done.stdout
