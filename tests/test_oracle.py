@@ -10,6 +10,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
+import workload
 from __spark_entry__ import oracle_sql, queries
 
 
@@ -48,4 +49,4 @@ def test_query_equals_sql(name, spark, sf_dir, duck):
 
 
 def test_every_query_has_sql():
-    assert set(oracle_sql()) == set(queries())
+    assert set(workload.ORACLES) == set(workload.QUERIES)
