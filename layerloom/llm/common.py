@@ -26,3 +26,20 @@ def whole_text(column: Column | str) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def text_digest(text: Column | str) -> Column:
+    """With the id it names a row: rows that share both are repeats of one document."""
+    return F.sha2(whole_text(text).cast("binary"), 256)
+
+
+def rows_named(docs: DataFrame, names: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows whose id and text digest are listed in ``doc_id, digest``; of repeats, one."""
+    listed = names.select(F.col("doc_id").alias("listed_id"), F.col("digest").alias("listed_digest"))
+    # The row as one field, so that no name of its columns can clash.
+    named = docs.select(
+        F.struct("*").alias("row"), F.col(doc_id).alias("id"), text_digest(F.col(text)).alias("digest")
+    )
+    same = (F.col("digest") == F.col("listed_digest")) & F.col("id").eqNullSafe(F.col("listed_id"))
+    kept = named.join(listed, same, "left_semi").dropDuplicates(["id", "digest"])
+    return kept.select("row.*")

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from layerloom.llm.common import settled, whole_text
+from layerloom.llm.common import rows_named, settled, text_digest, whole_text
 
 CHUNK_BYTES = 1 << 16
 #: Primes below 2**31, so that products and sums of a chunk stay within 64 bits.
@@ -85,7 +85,9 @@ def _contents(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """``doc_id`` and the digest of the text, which name a document, and its bytes."""
     content = whole_text(F.col(text)).cast("binary")
     return docs.select(
-        F.col(doc_id).alias("doc_id"), F.sha2(content, 256).alias("digest"), content.alias("content")
+        F.col(doc_id).alias("doc_id"),
+        text_digest(F.col(text)).alias("digest"),
+        content.alias("content"),
     )
 
 
@@ -179,14 +181,8 @@ def without_duplicates(
 ) -> DataFrame:
     """The rows that stay, with all their columns; of repeated rows, one."""
     groups = duplicate_groups(docs, doc_id, text, **options)
-    keepers = groups.filter("kept").select(
-        F.col("doc_id").alias("_keep_id"), F.col("text_sha256").alias("_keep_digest")
-    )
-    keepers = settled(keepers, "keepers")
-    named = docs.withColumn("_digest", F.sha2(whole_text(F.col(text)).cast("binary"), 256))
-    same = (F.col("_digest") == F.col("_keep_digest")) & F.col(doc_id).eqNullSafe(F.col("_keep_id"))
-    kept = named.join(keepers, same, "left_semi")
-    return kept.dropDuplicates([doc_id, "_digest"]).drop("_digest")
+    keepers = groups.filter("kept").select("doc_id", F.col("text_sha256").alias("digest"))
+    return rows_named(docs, settled(keepers, "keepers"), doc_id, text)
 
 
 def _candidates(prints: DataFrame) -> DataFrame:

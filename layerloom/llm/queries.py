@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerloom.llm import exact_dedup, topk, url_filter
+from layerloom.llm import exact_dedup, language, mixing, simhash, topk, url_filter
 from layerloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,12 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@query()
+def op4_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixing.mixed(docs)
+
+
 @query(
     """with vectors as (
            select vec_id, list_transform(embedding,
@@ -50,6 +56,21 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.nearest(vectors, F.col("vec_id") % 100 == 0, k=10, scale=1024)
 
 
+@query()
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    filters = language.fitted(docs.filter(~held_out))
+    predicted = language.identified(docs.select("doc_id", "text"), filters)
+    return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query()
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.near_groups(table(spark, sf_dir, "documents"), shingle_words=3, radius=3)
+    return groups.select("doc_id", simhash.hex_print(F.col("print")).alias("fingerprint"), "component_id")
+
+
 URL_RULES = [
     url_filter.rule("block", "net/"),
     url_filter.rule("allow", "example.net/en/"),

@@ -119,21 +119,22 @@ def judged(
 
     Columns of these names are replaced.
     """
-    with_parts = pages.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
+    own = ("host", "path", "rule", "verdict")
+    others = [F.col("row").getField(name).alias(name) for name in pages.columns if name not in own]
+    # The row as one field, so that no name of its columns can clash.
+    parted = pages.select(
+        F.struct("*").alias("row"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path")
+    )
     hits = [
         _matcher(pages, rules[at : at + block_rules])("host", "path")
         for at in range(0, len(rules), block_rules)
-    ]
-    if not hits:
-        return with_parts.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(default)})
+    ] or [F.lit(None).cast(_HIT)]
     best = reduce(
         lambda one, other: F.when(_rank(other) > _rank(one), other).otherwise(one), hits
     )
-    return (
-        with_parts.withColumn("_hit", best)
-        .withColumns({"rule": F.col("_hit.rule"), "verdict": F.coalesce("_hit.verdict", F.lit(default))})
-        .drop("_hit")
-    )
+    hit = parted.select("*", best.alias("hit"))
+    verdict = F.coalesce("hit.verdict", F.lit(default)).alias("verdict")
+    return hit.select(*others, "host", "path", F.col("hit.rule").alias("rule"), verdict)
 
 
 def _rank(hit: Column) -> Column:
