@@ -4,10 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerloom.llm import exact_dedup, language, mixing, simhash, topk, url_filter
+from layerloom.llm import (
+    exact_dedup,
+    html_text,
+    language,
+    mixing,
+    simhash,
+    token_counts,
+    topk,
+    url_filter,
+    wavelet,
+)
 from layerloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +39,48 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+#: What is masked before training: addresses, long hexadecimal secrets, long numbers.
+MASKS = {
+    r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+": "<email>",
+    r"\b[0-9a-f]{32,}\b": "<secret>",
+    r"\+?\d[\d ().-]{7,}\d": "<number>",
+}
+
+
+@query()
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts before and after masking personal data, updated where texts change."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counts = token_counts.recounted(
+        docs,
+        token_counts.masking_edits(F.col("text"), MASKS),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+    )
+    return counts.select("doc_id", "n_tokens_before", "n_edits", "n_tokens", "n_pretokens", "n_reencoded")
+
+
+@query(
+    r"""with articles as (
+           select page_id, url, regexp_extract(coalesce(html, ''),
+                      '<article>(.*?)(</article>|$)', 1, 's') as body from pages),
+       blocks as (
+           select page_id, url, list_filter(list_transform(
+                      string_split_regex(body, '</?(?:p|h1)>'),
+                      lambda b: trim(regexp_replace(regexp_replace(replace(replace(replace(
+                          regexp_replace(regexp_replace(b, '<br>', ' ', 'g'), '<[^>]*>', '', 'g'),
+                          '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g'),
+                          '\s+', ' ', 'g'))), lambda b: b <> '') as blocks
+           from articles)
+       select page_id, url, array_to_string(blocks, chr(10) || chr(10)) as text,
+              length(array_to_string(blocks, chr(10) || chr(10))) as n_chars
+       from blocks"""
+)
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extracted(pages)
+
+
 @query()
 def op4_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
@@ -102,6 +155,13 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+@query()
+def op9_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = wavelet.write_shards(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    return wavelet.read_documents(spark, path)
+
+
 @query(
     """with texts as (select doc_id, coalesce(text, '') as text from documents)
        select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_size,
