@@ -51,13 +51,9 @@ MASKS = {
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts before and after masking personal data, updated where texts change."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    counts = token_counts.recounted(
-        docs,
-        token_counts.masking_edits(F.col("text"), MASKS),
-        public_tokenizers.path("byte_bpe_50k.tiktoken"),
-        public_tokenizers.PATTERN,
+    return token_counts.recounted(
+        docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, masks=MASKS
     )
-    return counts.select("doc_id", "n_tokens_before", "n_edits", "n_tokens", "n_pretokens", "n_reencoded")
 
 
 @query(

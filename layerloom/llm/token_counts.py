@@ -25,21 +25,24 @@ one place apply one after the other. Other columns play no part.
 from __future__ import annotations
 
 import base64
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from functools import cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from layerloom.llm.common import whole_text
 
 #: Characters behind a pre-token's end that it may depend on.
 CONTEXT = 2
-KEPT_WORDS = 500_000
+KEPT_WORDS = 300_000
+TREE = "struct<chars:binary,tokens:binary>"
 EDITS = "array<struct<start:bigint,stop:bigint,replacement:string>>"
 
 Edit = tuple[int, int, str]
@@ -186,92 +189,71 @@ def _counter(ranks: bytes, pattern: str) -> Counter:
     return count
 
 
-def _ranks(docs: DataFrame, rank_file: str):
-    with open(rank_file, "rb") as file:
-        # A rank file has a fixed size, which bounds this broadcast.
-        return docs.sparkSession.sparkContext.broadcast(file.read())
-
-
-def tree_column(docs: DataFrame, text: Column, rank_file: str, pattern: str) -> Column:
-    """``struct<chars, tokens>``: the leaves of each text's tree, encoded in full."""
-    ranks = _ranks(docs, rank_file)
-
-    @F.pandas_udf("struct<chars:binary,tokens:binary>")
-    def grow(texts: pd.Series) -> pd.DataFrame:
-        count = _counter(ranks.value, pattern)
-        rows = []
-        for one in texts:
-            pieces = _pattern(pattern).findall(one)
-            lengths = np.fromiter(map(len, pieces), np.int32, len(pieces))
-            rows.append((lengths.tobytes(), np.array(count(pieces), np.int32).tobytes()))
-        return pd.DataFrame(rows, columns=["chars", "tokens"])
-
-    return grow(whole_text(text))
-
-
-def recount_column(
-    docs: DataFrame, text: Column, tree: Column, edits: Column, rank_file: str, pattern: str
-) -> Column:
-    """Counts before and after the edits, and the edited text's leaves."""
-    ranks = _ranks(docs, rank_file)
-
-    @F.pandas_udf(
-        "struct<n_tokens_before:bigint,n_edits:bigint,n_tokens:bigint,n_pretokens:bigint,"
-        "n_reencoded:bigint,text:string,chars:binary,tokens:binary>"
-    )
-    def update(texts: pd.Series, trees: pd.DataFrame, edited: pd.Series) -> pd.DataFrame:
-        count = _counter(ranks.value, pattern)
-        rows = []
-        for one, kept_chars, kept_tokens, found in zip(texts, trees["chars"], trees["tokens"], edited, strict=True):
-            chars, tokens = np.frombuffer(kept_chars, np.int32), np.frombuffer(kept_tokens, np.int32)
-            wanted = _usable(found)
-            before = int(tokens.sum())
-            new, new_chars, new_tokens, total, encoded = one, chars, tokens, before, 0
-            if wanted:
-                new, new_chars, new_tokens, updated, encoded = recount(
-                    one, chars, tokens, wanted, count, _pattern(pattern)
-                )
-                total = updated.tokens
-            rows.append(
-                (before, len(wanted), total, len(new_chars), encoded, new, new_chars.tobytes(), new_tokens.tobytes())
-            )
-        names = ["n_tokens_before", "n_edits", "n_tokens", "n_pretokens", "n_reencoded", "text", "chars", "tokens"]
-        return pd.DataFrame(rows, columns=names)
-
-    return update(whole_text(text), tree, edits)
-
-
-def _usable(edits) -> list[Edit]:
-    rows = [] if edits is None else [edit for edit in edits if edit is not None]
-    parts = [(edit["start"], edit["stop"], edit["replacement"]) for edit in rows]
-    return [(int(a), int(b), c) for a, b, c in parts if a is not None and b is not None and c is not None]
-
-
-def masking_edits(text: Column, masks: dict[str, str]) -> Column:
-    """Edits that replace each pattern's matches, in the order of the patterns."""
-
-    @F.pandas_udf(EDITS)
-    def find(texts: pd.Series) -> pd.Series:
-        compiled = [(regex.compile(pattern), replacement) for pattern, replacement in masks.items()]
-        return texts.map(
-            lambda one: [
-                {"start": m.start(), "stop": m.end(), "replacement": replacement}
-                for pattern, replacement in compiled
-                for m in pattern.finditer(one)
-            ]
-        )
-
-    return find(whole_text(text))
+COUNTS = ("n_tokens_before", "n_edits", "n_tokens", "n_pretokens", "n_reencoded")
+_ROWS = 256
 
 
 def recounted(
-    docs: DataFrame, edits: Column, rank_file: str, pattern: str, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    rank_file: str,
+    pattern: str,
+    edits: Column | None = None,
+    masks: Mapping[str, str] | None = None,
+    tree: Column | None = None,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    keep: bool = False,
 ) -> DataFrame:
-    """``doc_id`` and the counts before and after ``edits``, beside the updated tree.
+    """``doc_id`` with the token counts before and after the edits.
 
-    ``edits`` is an array of ``start, stop, replacement`` in characters of the text. The
-    tree is grown from the text here; a stored one goes to :func:`recount_column` instead.
+    ``edits`` is an array of ``start, stop, replacement`` in characters of the text;
+    ``masks`` adds edits that replace what a pattern matches. ``tree`` is a kept tree, a
+    struct of ``chars, tokens``; without it the tree is grown from the text. With ``keep``
+    the edited ``text`` and its ``tree`` are returned too, to be stored for the next edits.
     """
-    tree = tree_column(docs, F.col(text), rank_file, pattern)
-    counts = recount_column(docs, F.col(text), tree, edits, rank_file, pattern)
-    return docs.select(F.col(doc_id).alias("doc_id"), counts.alias("counts")).select("doc_id", "counts.*")
+    with open(rank_file, "rb") as file:
+        # A rank file has a fixed size, which bounds this broadcast.
+        ranks = docs.sparkSession.sparkContext.broadcast(file.read())
+    rows = docs.select(
+        F.col(doc_id).alias("doc_id"),
+        whole_text(F.col(text)).alias("text"),
+        (F.lit(None) if edits is None else edits).cast(EDITS).alias("edits"),
+        (F.lit(None) if tree is None else tree).cast(TREE).alias("tree"),
+    )
+    added = ", ".join(f"{name} bigint" for name in COUNTS) + (f", text string, tree {TREE}" if keep else "")
+    schema = StructType([rows.schema["doc_id"], *StructType.fromDDL(added)])
+    patterns = list((masks or {}).items())
+
+    def update(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count, split = _counter(ranks.value, pattern), _pattern(pattern)
+        arrow = to_arrow_schema(schema)
+        # A few rows at a time, so that only their trees and words are objects at once.
+        for part in (b.slice(at, _ROWS) for b in batches for at in range(0, b.num_rows, _ROWS)):
+            found = [_updated(row, patterns, count, split, keep) for row in part.to_pylist()]
+            yield pa.RecordBatch.from_pylist(found, arrow)
+
+    return rows.mapInArrow(update, schema)
+
+
+def _updated(row: dict, masks: list[tuple[str, str]], count: Counter, split: regex.Pattern, keep: bool) -> dict:
+    text = row["text"]
+    if row["tree"] is None:
+        pieces = split.findall(text)
+        chars, tokens = np.fromiter(map(len, pieces), np.int32, len(pieces)), np.array(count(pieces), np.int32)
+    else:
+        chars, tokens = (np.frombuffer(row["tree"][name], np.int32) for name in ("chars", "tokens"))
+    edits = _usable(row["edits"])
+    edits += [(m.start(), m.end(), new) for old, new in masks for m in _pattern(old).finditer(text)]
+    before = total = int(tokens.sum())
+    encoded = 0
+    if edits:
+        text, chars, tokens, updated, encoded = recount(text, chars, tokens, edits, count, split)
+        total = updated.tokens
+    counts = dict(zip(COUNTS, (before, len(edits), total, len(chars), encoded), strict=True))
+    kept = {"text": text, "tree": {"chars": chars.tobytes(), "tokens": tokens.tobytes()}} if keep else {}
+    return {"doc_id": row["doc_id"], **counts, **kept}
+
+
+def _usable(edits: list[dict] | None) -> list[Edit]:
+    rows = [edit for edit in edits or [] if edit is not None and None not in edit.values()]
+    return [(edit["start"], edit["stop"], edit["replacement"]) for edit in rows]
