@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerloom.llm import (
+    bpe,
     exact_dedup,
     html_text,
     language,
@@ -56,6 +57,24 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return digested(bpe.encoded(docs, ranks, public_tokenizers.PATTERN), ranks)
+
+
+def digested(encoded: DataFrame, rank_file: str) -> DataFrame:
+    """Counts and digests of the ids and of the bytes that they decode to."""
+    ids = bpe.id_array(F.col("ids"))
+    return encoded.select(
+        "doc_id",
+        F.size(ids).cast("bigint").alias("n_tokens"),
+        F.sha2(F.col("ids").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(bpe.decoded(ids, rank_file), 256).alias("decoded_sha256"),
+    )
+
+
 @query(
     r"""with articles as (
            select page_id, url, regexp_extract(coalesce(html, ''),

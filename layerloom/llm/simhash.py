@@ -16,9 +16,9 @@ the edges of a spanning forest are written, never all pairs. A bucket of more th
 of bounded size, so no bucket is capped and none is gathered.
 
 Defined cases: a null text has no words, like an empty one; such texts have the fingerprint
-zero and link like any other. Rows with a null id take part in the links, and a group of
-such rows alone has a null component. Rows that repeat id and text are one document when
-rows are kept. Other columns play no part.
+zero and link like any other. Rows with a null id take part in the links; a group of such
+rows alone has a null component, and one row of each of its texts stays. Rows that repeat
+id and text are one document when rows are kept. Other columns play no part.
 """
 
 from __future__ import annotations
@@ -196,8 +196,9 @@ def hex_print(value: Column) -> Column:
 def one_of_each_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows that stay, with all columns: of each group the one with the smallest id."""
     groups = near_groups(docs, doc_id, text, **options)
-    # Rows without an id have no component of their own; each text among them stays.
     first = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keepers = first.groupBy("doc_id", "print").agg(F.min("digest").alias("digest"))
-    keepers = keepers.groupBy("doc_id").agg(F.min_by("digest", "print").alias("digest"))
-    return rows_named(docs, settled(keepers.filter("doc_id is not null"), "keepers"), doc_id, text)
+    # Rows that repeat an id but not the text are told apart by their digest.
+    each = F.when(F.col("doc_id").isNull(), F.col("digest")).alias("each")
+    keepers = first.groupBy("doc_id", each).agg(F.min(F.struct("print", "digest")).alias("kept"))
+    keepers = keepers.select("doc_id", F.col("kept.digest").alias("digest"))
+    return rows_named(docs, settled(keepers, "keepers"), doc_id, text)
