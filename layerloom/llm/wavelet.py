@@ -23,6 +23,7 @@ from __future__ import annotations
 import io
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -39,7 +40,7 @@ from layerloom.workspace import new_run_dir
 SHARD_TOKENS = 1 << 22
 END_ID = 0
 #: A process keeps the ids of about so many words at hand; it then starts anew.
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 600_000
 DIRECTORY_BITS = 512
 
 _SHARDS = "part int, shard int, n_tokens bigint, payload binary"
@@ -196,6 +197,7 @@ class Encoder:
         size = self.tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.bits = max(1, (size - 1).bit_length())
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.words: dict[str, bytes] = {}  # behind a space; none begins or ends in white space
         self.pretokens: dict[str, bytes] = {}  # as the pre-tokenizer spells them
         self.space = self.tokenizer.pre_tokenizer.pre_tokenize_str(" a")[0][0][0]
@@ -232,7 +234,7 @@ class Encoder:
             ids = self.pretokens.get(pretoken)
             if ids is None:
                 found = [token.id for token in self.tokenizer.model.tokenize(pretoken)]
-                ids = self.pretokens[pretoken] = np.array(found, self.dtype).tobytes()
+                ids = self.pretokens[pretoken] = array(self.code, found).tobytes()
             # No word holds a space, so each pre-token with one begins the next word.
             if pretoken[0] == self.space:
                 parts.append([ids])
