@@ -35,10 +35,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from layerloom.llm.common import whole_text
+from layerloom.llm.common import settled, whole_text
 
 SAMPLE_DOCS = 20_000
-KEPT_WORDS = 1 << 19
+KEPT_WORDS = 1 << 17
 
 _BUCKETS = 1 << 16
 _FIRST = 0x100
@@ -175,24 +175,22 @@ def kept_words(
     docs: DataFrame, text: str, words: Vocabulary, pattern: str, sample_docs: int, kept: int
 ) -> dict[str, str]:
     """The most frequent pieces and matches of a sample, with their decimal ids."""
-    total = docs.count()
-    sample = docs.sample(min(1.0, sample_docs / max(1, total)), seed=7)
+    sample = docs.sample(min(1.0, sample_docs / max(1, docs.count())), seed=7)
     pieces = sample.select(F.explode(_cut(whole_text(F.col(text)), pattern)).alias("piece"))
-    found = pieces.groupBy("piece").count()
+    found = settled(pieces.groupBy("piece").count(), "pieces")
     matches = found.select(F.explode(_matches(F.col("piece"), pattern)).alias("piece"), "count")
     counted = found.unionByName(matches).groupBy("piece").agg(F.sum("count").alias("count"))
     plain = ~F.regexp_like("piece", F.lit(f"[{_KEY}{_VALUE}{_BUCKET}]"))
-    top = counted.filter(plain).orderBy(F.desc("count"), "piece").limit(kept)
-    spread = top.repartition("piece").select("piece", _piece_numbers(F.col("piece"), words, pattern).alias("ids"))
-    return {row["piece"]: row["ids"] for row in spread.toLocalIterator()}
-
-
-def _piece_numbers(piece: Column, words: Vocabulary, pattern: str) -> Column:
-    symbols = F.transform(_matches(piece, pattern), lambda word: folded(word, words))
-    return _numbers(F.array_join(symbols, ""), words)
+    top = settled(counted.filter(plain).orderBy(F.desc("count"), "piece").limit(kept), "frequent")
+    symbols = F.transform(_matches(F.col("piece"), pattern), lambda word: folded(word, words))
+    ids = _numbers(F.array_join(symbols, ""), words)
+    # At most ``kept`` words, so what reaches the driver is bounded whatever the data.
+    found = settled(top.repartition("piece").select("piece", ids.alias("ids")), "kept_words").toArrow()
+    return dict(zip(found["piece"].to_pylist(), found["ids"].to_pylist(), strict=True))
 
 
 def _kept_table(kept: dict[str, str]) -> Column:
+    """The kept words of each hash bucket, in one string."""
     buckets = [""] * _BUCKETS
     for word, ids in kept.items():
         buckets[_bucket(word)] += _KEY + word + _VALUE + ids + _KEY
@@ -224,17 +222,20 @@ def encoded(
     A column of that name is replaced.
     """
     words = vocabulary(rank_file)
-    table = _kept_table(kept_words(docs, text, words, pattern, sample_docs, kept))
+    frequent = _kept_table(kept_words(docs, text, words, pattern, sample_docs, kept))
 
-    def numbers(word: Column) -> Column:
+    def numbers(word: Column, table: Column) -> Column:
         return F.coalesce(_kept_ids(word, table), _numbers(folded(word, words), words))
 
-    def piece_numbers(piece: Column) -> Column:
-        known = _kept_ids(piece, table)
-        return F.coalesce(known, F.array_join(F.transform(_matches(piece, pattern), numbers), ","))
+    def piece_numbers(piece: Column, table: Column) -> Column:
+        within = F.transform(_matches(piece, pattern), lambda word: numbers(word, table))
+        return F.coalesce(_kept_ids(piece, table), F.array_join(within, ","))
 
     pieces = _cut(whole_text(F.col(text)), pattern)
-    ids = F.array_join(F.transform(pieces, piece_numbers), ",")
+    ids = _let(  # so that the table stands in the plan once
+        frequent,
+        lambda table: F.array_join(F.transform(pieces, lambda piece: piece_numbers(piece, table)), ","),
+    )
     # The row as one field, so that no name of its columns can clash.
     found = docs.select(F.struct("*").alias("row"), ids.alias("ids"))
     return found.select(*(F.col("row").getField(c).alias(c) for c in docs.columns if c != "ids"), "ids")
