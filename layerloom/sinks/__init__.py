@@ -4,6 +4,7 @@ from layerloom.sinks.console import show
 from layerloom.sinks.files import (
     write_csv,
     write_json_array,
+    write_json_arrays_by_key,
     write_json_documents,
     write_json_lines,
     write_text,
@@ -16,6 +17,7 @@ __all__ = [
     "write_by_key",
     "write_csv",
     "write_json_array",
+    "write_json_arrays_by_key",
     "write_json_documents",
     "write_json_lines",
     "write_layer",

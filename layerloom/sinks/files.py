@@ -1,9 +1,15 @@
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+from typing import Any
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from layerloom.functions.json import LOSSLESS_TIME, json_text
+from layerloom.sinks.tables import clustered, with_key
 
 KEEP_WHITE_SPACE = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
@@ -33,17 +39,17 @@ def write_json_array(
     path: str,
     pretty: bool = False,
     mode: str = "overwrite",
-    rows_per_file: int | None = 100_000,
+    rows_per_file: int | None = None,
 ) -> str:
     """Directory of part files that are each one valid JSON array; non-ASCII text is kept.
 
-    Every task streams its own partition into arrays of ``rows_per_file`` elements, one per
-    file: no shuffle and no gathered group, and files stay small enough for readers that
-    take an array whole. An empty partition gives ``[]``; where Spark finds the whole input
-    empty and runs no partition, it leaves one empty file.
+    Every task streams its own partition into one array: no shuffle and no gathered group.
+    An empty partition gives ``[]``; where Spark finds the whole input empty and runs no
+    partition, it leaves one empty file. A caller who needs a single file passes
+    ``df.coalesce(1)`` and bears that cost.
 
-    ``rows_per_file=None`` makes one array per partition. A caller who needs a single file
-    also passes ``df.coalesce(1)`` and bears that cost.
+    ``rows_per_file`` cuts a partition into several arrays of so many elements, one per
+    file, for readers that take an array whole.
     """
     if rows_per_file is not None and rows_per_file < 1:
         raise ValueError("rows_per_file must be at least 1")
@@ -83,6 +89,51 @@ def write_json_array(
     return path
 
 
+def write_json_arrays_by_key(
+    df: DataFrame,
+    path: str,
+    key: Column | str,
+    name: str,
+    keys: Sequence[Any] | None = None,
+    pretty: bool = False,
+    mode: str = "overwrite",
+) -> str:
+    """JSON arrays per key, in ``<path>/<name>=<key>``, in one pass over the rows.
+
+    Rows are clustered by key and sorted within their task; each file is one valid array of
+    one key's rows, which keep all their columns. A hot key is split over tasks, and so
+    over several arrays. ``key``, ``name`` and ``keys`` are as in ``write_by_key``.
+    """
+    row = json_text(F.struct(*(F.col(f"`{c}`") for c in df.columns)), pretty)
+    keyed = with_key(df.withColumn("_array_row", row), key, name, keys)
+    keyed = keyed.select(name, F.col("_array_row").alias("value"))
+    ordered = clustered(keyed, name).sortWithinPartitions(name)
+    schema = StructType([ordered.schema[name], *StructType.fromDDL("_line bigint, value string")])
+
+    def bracketed(batches):
+        """Each element with the bracket or comma before it, and a last bracket per key."""
+        import pyarrow as pa
+
+        fields = to_arrow_schema(schema)
+        last, line = None, 0  # the key of the open array, as a tuple to tell null from none
+        for batch in batches:
+            found = []
+            for own, value in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                if last is not None and last != (own,):
+                    found.append({name: last[0], "_line": line, "value": "]"})
+                    line += 1
+                found.append({name: own, "_line": line, "value": ("," if last == (own,) else "[") + value})
+                last, line = (own,), line + 1
+            yield pa.RecordBatch.from_pylist(found, fields)
+        if last is not None:
+            yield pa.RecordBatch.from_pylist([{name: last[0], "_line": line, "value": "]"}], fields)
+
+    # Sorted by key, as the writer asks for, and by line, so that it keeps this very order.
+    lines = ordered.mapInArrow(bracketed, schema).sortWithinPartitions(name, "_line")
+    lines.drop("_line").write.mode(mode).partitionBy(name).text(path)
+    return path
+
+
 def write_json_documents(
     df: DataFrame, path: str, pretty: bool = True, mode: str = "overwrite"
 ) -> str:

@@ -3,14 +3,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
+from layerloom import storage
 from layerloom.config import LayerConfig
 from layerloom.functions.json import LOSSLESS_TIME
 
-# Up to this many directories, a task may write to all of them without a shuffle before.
-FEW_KEYS = 16
+#: Tasks that share a key where Spark does not split hot keys by itself.
+SALTS = 16
 
 
 def write_layer(
@@ -27,11 +29,17 @@ def write_layer(
 
     With ``partition_by``, rows are first clustered by those columns (see
     :func:`clustered`); ``cluster=False`` saves that shuffle when there are few partitions.
-    ``format`` overrides the configured one for this table.
+    A directory name cannot tell an empty string from a null, so an empty string in a
+    partition column fails the write. ``format`` overrides the configured one for this
+    table. A table that holds a stream log of Spark's own file sink is refused, as readers
+    would not see what is added beside the log.
     """
     path = config.layer_path(layer, table)
-    if partition_by and cluster:
-        df = clustered(df, *partition_by)
+    refuse_stream_log(df.sparkSession, path)
+    if partition_by:
+        df = df.withColumns({name: _directory_value(df, name, F.col(name)) for name in partition_by})
+        if cluster:
+            df = clustered(df, *partition_by)
     writer = df.write.mode(mode).format(format or config.format)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -47,36 +55,62 @@ def write_by_key(
     keys: Sequence[Any] | None = None,
     format: str = "json",
     mode: str = "overwrite",
-    cluster: bool | None = None,
+    cluster: bool = True,
 ) -> str:
     """Export each key's rows to a directory of its own, ``<path>/<name>=<key>``.
 
-    All keys are written in one pass. ``key`` may be a nested field (``league.id``); the
-    files keep it, the directory repeats it as ``name``. ``keys`` limits the export to
-    those listed, without it every key is exported.
+    All keys are written in one pass. ``keys`` limits the export to those listed, without
+    it every key is exported. Rows are clustered by key first (see :func:`clustered`);
+    ``cluster=False`` saves that shuffle, but then each task writes to every directory.
 
-    Rows are clustered by key first (see :func:`clustered`), unless at most ``FEW_KEYS`` are
-    listed: each task then writes its few files directly and nothing is shuffled.
-    ``cluster`` decides it by hand.
+    ``key`` may be a nested field (``league.id``) or an expression. The files keep all
+    columns, and the directory repeats the key as ``name``, which must be a new column.
+    Only a key that is the column ``name`` itself moves from the files to the directory; an
+    empty string, which a directory cannot tell from a null, then fails the export.
     """
-    value = F.col(key) if isinstance(key, str) else key
-    if keys is not None:
-        df = df.filter(value.isin(list(keys)))
-    keyed = df.withColumn(name, value)
-    if cluster is None:
-        cluster = keys is None or len(keys) > FEW_KEYS
+    keyed = with_key(df, key, name, keys)
     if cluster:
         keyed = clustered(keyed, name)
     keyed.write.mode(mode).options(**LOSSLESS_TIME).partitionBy(name).format(format).save(path)
     return path
 
 
+def with_key(df: DataFrame, key: Column | str, name: str, keys: Sequence[Any] | None) -> DataFrame:
+    """The rows of the listed keys with the key as ``name``."""
+    moves = isinstance(key, str) and key == name
+    if name in df.columns and not moves:
+        raise ValueError(f"{name!r} is a column already: give the directories another name")
+    value = F.col(key) if isinstance(key, str) else key
+    if keys is not None:
+        df = df.filter(value.isin(list(keys)))
+    return df.withColumn(name, _directory_value(df, name, value) if moves else value)
+
+
 def clustered(df: DataFrame, *columns: str) -> DataFrame:
     """Bring equal values together so that a partitioned write makes few, well-sized files.
 
     The rebalance is sized at run time: small keys share a task, and a key with far more
-    rows than the others is split over many tasks. That needs adaptive execution; without
-    it one task would get a whole hot key, so the rows then stay where they are.
+    rows than the others is split over many tasks. Where adaptive execution or its split of
+    skewed rebalances is switched off, each key goes to up to ``SALTS`` tasks instead, by
+    the task its rows come from, so that no task gets a whole hot key.
     """
-    adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true")
-    return df.hint("rebalance", *columns) if adaptive.lower() == "true" else df
+    setting = lambda name: df.sparkSession.conf.get(name, "true").lower() == "true"
+    if setting("spark.sql.adaptive.enabled") and setting(
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled"
+    ):
+        return df.hint("rebalance", *columns)
+    salt = "_layerloom_salt"
+    salted = df.withColumn(salt, F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+    return salted.repartition(*columns, salt).drop(salt)
+
+
+def refuse_stream_log(spark: SparkSession, path: str) -> None:
+    if storage.exists(spark, f"{path}/_spark_metadata"):
+        raise ValueError(f"{path} was written by Spark's stream file sink, whose log hides other files")
+
+
+def _directory_value(df: DataFrame, name: str, value: Column) -> Column:
+    if name not in df.columns or not isinstance(df.schema[name].dataType, StringType):
+        return value
+    failure = F.raise_error(F.lit(f"empty string in {name}: its directory would read as null"))
+    return F.when(value == "", failure.cast("string")).otherwise(value)

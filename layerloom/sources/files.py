@@ -60,12 +60,18 @@ def read_whole_text(spark: SparkSession, path: Paths, **options: str) -> DataFra
     return spark.read.options(**options).text(path, wholetext=True)
 
 
-def read_landed(spark: SparkSession, path: Paths) -> DataFrame:
+def read_landed(spark: SparkSession, path: Paths, parameters: str | None = None) -> DataFrame:
     """Landed responses, one file each: the ``body`` and the request's parameters.
 
     The parameters are the folder names, as in ``league=140/season=2023/response.json``.
+    ``parameters`` gives their types (``league string, season int``); without it Spark
+    guesses, and reads ``007`` as 7. Files that Spark hides, with a name that starts with
+    ``_`` or ``.``, are no responses: they give neither a row nor a reject.
     """
-    return read_whole_text(spark, path).withColumnRenamed("value", "body")
+    reader = spark.read
+    if parameters is not None:
+        reader = reader.schema(f"value string, {parameters}")
+    return reader.text(path, wholetext=True).withColumnRenamed("value", "body")
 
 
 def read_text_lines(spark: SparkSession, path: Paths, **options: str) -> DataFrame:

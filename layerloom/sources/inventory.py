@@ -1,11 +1,11 @@
 from __future__ import annotations
 
-import re
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from layerloom import storage
+
 _NO_FILES = "name string, path string, size bigint"
 
 
@@ -32,21 +32,8 @@ def file_inventory(spark: SparkSession, path: str) -> DataFrame:
 def directory_entries(spark: SparkSession, path: str) -> DataFrame:
     """Direct children of ``path``: ``name``, ``path``, ``size`` and ``is_dir``.
 
-    A directory's size is the sum of the data files below it; one without any has no row.
+    One level is listed, on the driver, hidden names and empty directories included. A
+    directory's size is that of all files below it. A missing path gives no rows.
     """
-    root = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", path).rstrip("/") + "/"
-    start = F.instr("path", F.lit(root)) + F.lit(len(root))
-    below = F.substr("path", start)
-    name = F.substring_index(below, "/", 1)
-    return (
-        file_inventory(spark, path)
-        .select(
-            name.alias("name"),
-            F.concat(F.substr("path", F.lit(1), start - 1), name).alias("path"),
-            F.contains(below, F.lit("/")).alias("is_dir"),
-            "size",
-        )
-        .groupBy("name", "path", "is_dir")
-        .agg(F.sum("size").alias("size"))
-        .select("name", "path", "size", "is_dir")
-    )
+    entries = list(storage.children(spark, path))
+    return spark.createDataFrame(entries, f"{_NO_FILES}, is_dir boolean")

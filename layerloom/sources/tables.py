@@ -3,6 +3,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from layerloom import storage
 from layerloom.config import LayerConfig
 
 
@@ -16,11 +17,21 @@ def read_layer(
 ) -> DataFrame:
     """Scan a layered table; a missing one raises Spark's ``PATH_NOT_FOUND``.
 
-    A known ``schema`` saves the footer-reading job of Parquet. Delta keeps its own.
-    ``format`` is for a table stored in another format than the configured one.
+    A known ``schema`` saves the footer-reading job of Parquet. Delta keeps its own. A table
+    in partition directories needs the schema: Spark would guess the type of a directory's
+    value, and read ``01`` as a number. ``format`` is for a table stored in another format
+    than the configured one; a Delta table read as another format is an error, since its
+    folder holds files that the table no longer has.
     """
     stored_as = format or config.format
+    path = config.layer_path(layer, table)
     reader = spark.read.format(stored_as)
-    if schema is not None and stored_as != "delta":
-        reader = reader.schema(schema)
-    return reader.load(config.layer_path(layer, table))
+    if stored_as != "delta":
+        names = {entry.name for entry in storage.children(spark, path, measure=False) if entry.is_dir}
+        if "_delta_log" in names:
+            raise ValueError(f"{path} is a Delta table, not {stored_as}")
+        if schema is not None:
+            reader = reader.schema(schema)
+        elif any("=" in name for name in names):
+            raise ValueError(f"{path} has partition directories: pass its schema")
+    return reader.load(path)

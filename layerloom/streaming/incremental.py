@@ -1,11 +1,20 @@
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from layerloom import storage
 from layerloom.config import LayerConfig
+from layerloom.sinks.tables import refuse_stream_log
+
+#: Older than any file, so that a file's age never decides whether it is read.
+ANY_AGE = "36500d"
+
+_JOB = re.compile(r"[A-Za-z0-9._-]+")
 
 
 def new_files(
@@ -15,15 +24,22 @@ def new_files(
     table: str,
     schema: StructType,
     max_files_per_batch: int | None = None,
+    max_file_age: str = ANY_AGE,
 ) -> DataFrame:
     """A layered table as a stream: each run takes the files added since the last one.
 
     The table must only grow by appended files. ``max_files_per_batch`` bounds a batch; a
-    run then works through all new files in several batches.
+    run then works through all new files in several batches, one after another.
+
+    ``max_file_age`` drops nothing by default, so files that arrive with old modification
+    times (backfills, copies that keep them) are read. In return the job remembers each
+    file it has seen, an entry on the driver and in the checkpoint. Where files never come
+    late, a shorter age, counted back from the newest file, bounds that state; so do one
+    job per dated landing folder, and moving read files away (``cleanSource``).
     """
     reader = spark.readStream.format(config.format)
     if config.format != "delta":
-        reader = reader.schema(schema)
+        reader = reader.schema(schema).option("maxFileAge", max_file_age)
     if max_files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     return reader.load(config.layer_path(layer, table))
@@ -41,15 +57,33 @@ def append_new(
 
     Progress is kept in the job's checkpoint, so each input file counts exactly once, also
     when a run fails half-way and is started again. A failure is raised.
+
+    The table stays a plain one that batch writers may append to or overwrite: there is no
+    stream log beside it. A batch's files carry the checkpoint's id and the batch number
+    in their names, and a batch that is run again first removes what it left before.
     """
-    path = config.layer_path(layer, table)
-    writer = (
-        stream.writeStream.format(config.format)
-        .outputMode("append")
-        .option("checkpointLocation", config.checkpoint_path(job))
-        .trigger(availableNow=True)
-    )
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.start(path).awaitTermination()
+    if not _JOB.fullmatch(job):
+        raise ValueError(f"job {job!r} may hold letters, digits, '.', '_' and '-' only")
+    path, checkpoint = config.layer_path(layer, table), config.checkpoint_path(job)
+    writer = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    if config.format == "delta":
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.format("delta").outputMode("append").start(path).awaitTermination()
+        return path
+    refuse_stream_log(stream.sparkSession, path)
+
+    def append(batch: DataFrame, number: int) -> None:
+        name = f"part-{_checkpoint_id(batch.sparkSession, checkpoint)}-{number:09d}"
+        levels = "*/" * len(partition_by)
+        storage.remove_matching(batch.sparkSession, f"{path}/{levels}{name}-*")
+        files = batch.write.mode("append").format(config.format)
+        files.option("mapreduce.output.basename", name).partitionBy(*partition_by).save(path)
+
+    writer.foreachBatch(append).start().awaitTermination()
     return path
+
+
+def _checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id Spark gave the checkpoint: a new checkpoint never touches an old one's files."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]

@@ -8,7 +8,10 @@ from functools import cache
 
 from pyspark.sql import SparkSession
 
+from layerloom import storage
+
 SHARED_DIR_SETTING = "spark.checkpoint.dir"
+_RUNS = "layerloom"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -19,9 +22,12 @@ def shared_dir(spark: SparkSession) -> str:
     with its executor.
     """
     configured = spark.conf.get(SHARED_DIR_SETTING, None)
+    one_machine = spark.conf.get("spark.master", "").startswith("local")
     if configured:
+        if configured.startswith("file:") and not one_machine:
+            raise RuntimeError(f"{SHARED_DIR_SETTING} is {configured}, a folder of each machine's own")
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not one_machine:
         raise RuntimeError(f"set {SHARED_DIR_SETTING} to a folder shared by the cluster")
     return _local_dir()
 
@@ -33,4 +39,11 @@ def _local_dir() -> str:
 
 def new_run_dir(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/layerloom/{name}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/{_RUNS}/{name}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession, run_dir: str) -> bool:
+    """Delete a run's directory once nothing reads it any more; whether it was there."""
+    if not run_dir.startswith(f"{shared_dir(spark)}/{_RUNS}/") or ".." in run_dir.split("/"):
+        raise ValueError(f"{run_dir} is no run directory of this session")
+    return storage.remove(spark, run_dir)

@@ -18,6 +18,7 @@ NO_ROWS = [
     (7, '{"results": 3}'),
     (8, '{"results": 3, "response": null}'),
     (9, '{"errors": {"token": "bad"}}'),
+    (9, '{"results": 2.0, "response": []}'),
 ]
 BAD = [
     (10, "<html>502</html>"),
@@ -42,6 +43,10 @@ BAD = [
     (29, '"text"'),
     (30, "true"),
     (31, '{"results": "1", "response": [{}]}'),
+    (32, '{"results":1,"response":["a"]}], "x": [1'),
+    (33, '{"results":1,"response":["a"]}], "body": [{"results":1,"response":["b"]}'),
+    (34, '{"results":1,"response":["a"]}], "end": true}, {"y": [1'),
+    (35, '{"results": "NaN", "response": [{}]}'),
 ]
 ELEMENT = "league struct<id: bigint>, n bigint"
 
@@ -81,6 +86,22 @@ def test_opened_is_both_sides(landed, element):
         map(repr, sources.accepted(landed, element=element).collect())
     )
     assert sorted(map(tuple, bad.collect())) == BAD
+    empty = rows.filter("outcome = 'empty'")
+    assert sorted(r.request for r in empty.collect()) == [request for request, _ in NO_ROWS]
+    assert empty.filter("element is not null or rejected_body is not null").count() == 0
+
+
+def test_results_may_be_any_number(spark):
+    landed = spark.createDataFrame([(1, '{"results": 1.0, "response": [{"n": 1}]}')], "r int, body string")
+    assert sources.accepted(landed).count() == 1
+
+
+@pytest.mark.parametrize("name", ["outcome", "element", "rejected_body", "_body", "_envelope"])
+def test_parameters_that_would_clash_are_refused(spark, name):
+    landed = spark.createDataFrame([(1, "{}")], f"{name} int, body string")
+    for read in (sources.accepted, sources.rejected, sources.opened):
+        with pytest.raises(ValueError, match=name):
+            read(landed)
 
 
 def test_null_element_is_kept(spark):

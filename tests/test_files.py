@@ -250,13 +250,94 @@ def test_inventory(spark, tmp_path):
     for root in (str(base), str(base) + "/", f"file://{base}"):
         entries = sources.directory_entries(spark, root).collect()
         assert sorted((e.name, e.is_dir, e.size) for e in entries) == [
+            ("_hidden", False, 1),
             ("note.txt", False, 1),
             ("table", True, 8),
         ]
-        assert {e.path for e in entries} == {f"file:{base}/note.txt", f"file:{base}/table"}
+        assert {e.path for e in entries} == {f"file:{base}/{e.name}" for e in entries}
         assert entries[0].asDict().keys() == {"name", "path", "size", "is_dir"}
 
 
+@pytest.mark.parametrize("form", ["{base}/./x", "{base}/y/../x", "{base}//x", "{base}/x/"])
+def test_directory_entries_of_odd_paths(spark, tmp_path, form):
+    (tmp_path / "y").mkdir()
+    (tmp_path / "x" / "table" / "_delta_log").mkdir(parents=True)
+    (tmp_path / "x" / "_SUCCESS").write_text("")
+    (tmp_path / "x" / "a.json").write_text("{}")
+    entries = sources.directory_entries(spark, form.format(base=tmp_path)).collect()
+    assert sorted((e.name, e.is_dir, e.size) for e in entries) == [
+        ("_SUCCESS", False, 0),
+        ("a.json", False, 2),
+        ("table", True, 0),
+    ]
+
+
+KEYS = [(1, None), (2, ""), (3, "01"), (4, "a/b"), (5, "1")]
+
+
+def test_keys_survive_a_per_key_export(spark, tmp_path):
+    df = spark.createDataFrame(KEYS, "n int, k string")
+    path = sinks.write_by_key(df, str(tmp_path / "out"), "k", "k_dir")
+    back = sources.read_by_key(spark, path, "n int, k string, k_dir string")
+    # A null field is left out of JSON and an empty string is not.
+    assert sorted((r.n, r.k) for r in back.collect()) == KEYS
+
+
+def test_keys_survive_a_partitioned_layer(spark, config):
+    df = spark.createDataFrame([row for row in KEYS if row[1] != ""], "n int, k string")
+    sinks.write_layer(df, config, "bronze", "t", partition_by=["k"])
+    back = sources.read_layer(spark, config, "bronze", "t", df.schema)
+    assert same(back, df)
+    with pytest.raises(ValueError, match="schema"):
+        sources.read_layer(spark, config, "bronze", "t")
+
+
+def test_empty_string_as_a_directory_fails(spark, config, tmp_path):
+    df = spark.createDataFrame(KEYS, "n int, k string")
+    with pytest.raises(Exception, match="empty string in k"):
+        sinks.write_layer(df, config, "bronze", "t", partition_by=["k"])
+    with pytest.raises(Exception, match="empty string in k"):
+        sinks.write_by_key(df, str(tmp_path / "out"), "k", "k")
+
+
+def test_export_never_replaces_a_column(spark, tmp_path):
+    df = spark.createDataFrame([((1, "a"), 2)], "league struct<id: int, name: string>, v int")
+    with pytest.raises(ValueError, match="column already"):
+        sinks.write_by_key(df, str(tmp_path / "out"), "league.id", "league")
+
+
+def test_delta_folder_is_not_read_as_parquet(spark, config):
+    path = sinks.write_layer(spark.range(3), config, "bronze", "t")
+    (Path(path) / "_delta_log").mkdir()
+    with pytest.raises(ValueError, match="Delta"):
+        sources.read_layer(spark, config, "bronze", "t")
+
+
+def test_landed_parameters_keep_their_text_and_hidden_files_are_none(spark, tmp_path):
+    folder = tmp_path / "league=007"
+    folder.mkdir()
+    (folder / "r.json").write_text("{}")
+    (folder / "_r2.json").write_text("{}")
+    rows = sources.read_landed(spark, str(tmp_path), "league string").collect()
+    assert [(r.league, r.body) for r in rows] == [("007", "{}")]
+
+
+@pytest.mark.parametrize("keys", [None, [0, 1]])
+def test_json_arrays_by_key_are_valid_and_whole(spark, tmp_path, keys):
+    df = spark.range(5000).select(
+        F.when(F.col("id") % 7 > 0, F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 5)).alias("k"),
+        F.col("id").alias("n"),
+        F.when(F.col("id") % 2 == 0, "ünï").alias("s"),
+    )
+    path = sinks.write_json_arrays_by_key(df.repartition(4), str(tmp_path / "out"), "k", "key", keys)
+    want = df if keys is None else df.filter(F.col("k").isin(keys))
+    assert same(sources.read_json_array(spark, path, df.schema).select("k", "n", "s"), want)
+    for file in part_files(path):
+        rows = json.loads(file.read_text())
+        name = file.parent.name.removeprefix("key=")
+        assert {str(r.get("k", "__HIVE_DEFAULT_PARTITION__")) for r in rows} == {name}
+
+
 def test_inventory_finds_the_part_files_of_exports(spark, tmp_path):
     df = spark.range(100).select(F.col("id").cast("string").alias("value")).repartition(4)
     sinks.write_json_lines(df, str(tmp_path / "out" / "json"))

@@ -67,7 +67,7 @@ def test_count_reads_no_column(explained):
 
 
 def test_partition_filter_prunes_directories(explained):
-    text = explained("write_layer_partitioned")
+    text = explained("scan_layer_pruned")
     assert re.search(r"PartitionFilters: \[.*event_type.* = error", text)
 
 
@@ -163,26 +163,39 @@ def test_hot_key_is_split_over_tasks_and_kept_whole(spark, skewed, small_targets
     assert counts[0] == 20_000
 
 
-def test_few_listed_keys_are_written_without_a_shuffle(spark, skewed, tmp_path):
-    path = sinks.write_by_key(skewed, str(tmp_path / "out"), "k", "k", keys=[0, 1])
-    assert files_per_key(path)["k=0"] == 16
+@pytest.mark.parametrize("listed", [16, 17])
+def test_listed_keys_are_clustered_whatever_their_number(spark, skewed, tmp_path, listed):
+    keys = list(range(listed))
+    path = sinks.write_by_key(skewed, str(tmp_path / "out"), "k", "k", keys=keys)
+    assert sum(files_per_key(path).values()) <= 2 * listed
     back = sources.read_by_key(spark, path, "n bigint, text string, k bigint")
-    assert back.count() == skewed.filter("k in (0, 1)").count()
+    assert back.count() == skewed.filter(F.col("k").isin(keys)).count()
+    assert "REBALANCE" in plan(sinks.tables.clustered(skewed, "k")).upper()
+
+
+def test_unclustered_keys_are_written_without_a_shuffle(spark, skewed, tmp_path):
+    path = sinks.write_by_key(skewed, str(tmp_path / "out"), "k", "k", keys=[0, 1], cluster=False)
+    assert files_per_key(path)["k=0"] == 16
 
 
 def test_hot_partition_of_a_layer_is_split(spark, skewed, small_targets, config):
     path = sinks.write_layer(skewed, config, "bronze", "t", partition_by=["k"])
     assert files_per_key(path)["k=0"] > 1
-    assert sources.read_layer(spark, config, "bronze", "t").count() == 60_000
+    assert sources.read_layer(spark, config, "bronze", "t", skewed.schema).count() == 60_000
+
+
+SPLITS_HOT_KEYS = ["spark.sql.adaptive.enabled", "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled"]
 
 
-def test_without_adaptive_execution_no_task_gets_a_whole_key(spark, skewed, tmp_path):
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+@pytest.mark.parametrize("setting", SPLITS_HOT_KEYS)
+def test_where_spark_splits_no_key_no_task_gets_a_whole_one(spark, skewed, tmp_path, setting):
+    spark.conf.set(setting, "false")
     try:
+        assert "salt" in plan(sinks.tables.clustered(skewed, "k"))
         path = sinks.write_by_key(skewed, str(tmp_path / "out"), "k", "k")
-        assert files_per_key(path)["k=0"] == 16
+        assert files_per_key(path)["k=0"] > 1
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set(setting, "true")
     assert sources.read_by_key(spark, path, "n bigint, text string, k bigint").count() == 60_000
 
 

@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+import os
+import time
+from pathlib import Path
+
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -49,3 +53,52 @@ def test_failed_run_continues_without_loss_or_repeats(spark, config):
         append_new(broken, config, "silver", "t", job="t", partition_by=["part"])
     rows = run(spark, config, schema)
     assert sorted(r.id for r in rows.collect()) == [*range(10), *range(100, 110)]
+
+
+def test_files_with_old_times_are_read(spark, config):
+    schema = land(spark, config, 0, 10)
+    run(spark, config, schema)
+    before = set(Path(config.layer_path("bronze", "t")).glob("part-*"))
+    land(spark, config, 100, 7)
+    long_ago = time.time() - 10 * 24 * 3600
+    for file in set(Path(config.layer_path("bronze", "t")).glob("part-*")) - before:
+        os.utime(file, (long_ago, long_ago))
+    assert run(spark, config, schema).count() == 17
+
+
+def test_batch_writers_share_the_table(spark, config):
+    schema = land(spark, config, 0, 10)
+    run(spark, config, schema)
+    extra = spark.range(50, 57).select("id", F.lit("batch").alias("part"))
+    write_layer(extra, config, "silver", "t", mode="append", partition_by=["part"])
+    assert read_layer(spark, config, "silver", "t", schema).count() == 17
+    write_layer(extra, config, "silver", "t", partition_by=["part"])
+    land(spark, config, 200, 5)
+    assert run(spark, config, schema).count() == 12
+    assert not (Path(config.layer_path("silver", "t")) / "_spark_metadata").exists()
+
+
+def test_a_batch_that_runs_again_adds_nothing(spark, config):
+    schema = land(spark, config, 0, 10)
+    run(spark, config, schema)
+    commits = Path(config.checkpoint_path("t")) / "commits"
+    for file in (commits / "0", commits / ".0.crc"):  # as if the run had died before its commit
+        file.unlink()
+    assert run(spark, config, schema).count() == 10
+
+
+def test_a_new_checkpoint_leaves_the_old_files(spark, config):
+    schema = land(spark, config, 0, 10)
+    run(spark, config, schema)
+    stream = new_files(spark, config, "bronze", "t", schema)
+    append_new(stream, config, "silver", "t", job="other", partition_by=["part"])
+    assert read_layer(spark, config, "silver", "t", schema).count() == 20
+
+
+def test_tables_with_a_stream_log_are_refused(spark, config):
+    schema = land(spark, config, 0, 10)
+    (Path(config.layer_path("silver", "t")) / "_spark_metadata").mkdir(parents=True)
+    with pytest.raises(ValueError, match="log"):
+        write_layer(spark.range(1), config, "silver", "t", mode="append")
+    with pytest.raises(ValueError, match="log"):
+        run(spark, config, schema)

@@ -38,6 +38,24 @@ def test_cluster_without_setting_is_an_error():
         workspace.shared_dir(FakeSession(spark_master="yarn"))
 
 
+def test_local_folder_on_a_cluster_is_an_error():
+    session = FakeSession(spark_checkpoint_dir="file:///tmp/work", spark_master="yarn")
+    with pytest.raises(RuntimeError):
+        workspace.shared_dir(session)
+
+
+def test_release_removes_a_run_and_nothing_else(spark):
+    path = workspace.new_run_dir(spark, "job")
+    spark.range(3).write.parquet(path)
+    with pytest.raises(ValueError):
+        workspace.release(spark, workspace.shared_dir(spark))
+    with pytest.raises(ValueError):
+        workspace.release(spark, f"{path}/../../other")
+    assert workspace.release(spark, path)
+    assert not Path(path).exists()
+    assert not workspace.release(spark, path)
+
+
 def test_local_mode_makes_its_own_once():
     session = FakeSession(spark_master="local[2]")
     assert workspace.shared_dir(session) == workspace.shared_dir(session)

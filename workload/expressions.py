@@ -79,7 +79,7 @@ def fn_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fn_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     words_by_line = F.transform(F.split("text", "\n"), lambda line: F.split(line, " "))
     documents = table(spark, sf_dir, "documents")
-    words = operators.exploded(documents, functions.flattened(words_by_line), "word")
+    words = operators.exploded(documents, functions.flattened(words_by_line, null_parts=False), "word")
     return operators.count_by_key(words, "word", name="word_count")
 
 

@@ -54,7 +54,8 @@ ORDERS = LayerFlow(
 
 GOLD_SQL = """select regexp_extract(o_orderpriority, '-(.+)', 1) as priority,
                      count(*) as order_count,
-                     max(cast(o_orderdate as date)) as latest_order
+                     max(cast(o_orderdate as date)) as latest_order,
+                     true as dated_today
               from orders where o_orderstatus = 'F' group by 1"""
 
 
@@ -92,13 +93,19 @@ def layer_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(GOLD_SQL)
 def layer_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = bronze(raw_orders(spark, sf_dir), ORDERS.source_system)
-    return gold(silver(rows, ORDERS.clean), ORDERS.metrics).drop("report_date")
+    return checked_date(gold(silver(rows, ORDERS.clean), ORDERS.metrics))
+
+
+def checked_date(metrics: DataFrame) -> DataFrame:
+    """Whether the report's date is today's, in place of a date that changes by the day."""
+    today = F.col("report_date") == F.to_date(F.current_timestamp())
+    return metrics.withColumn("dated_today", today).drop("report_date")
 
 
 @query(GOLD_SQL)
 def layers_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = fresh_config(spark, "layers_end_to_end")
-    return run(raw_orders(spark, sf_dir), config, ORDERS).drop("report_date")
+    return checked_date(run(raw_orders(spark, sf_dir), config, ORDERS))
 
 
 @query(
@@ -134,6 +141,27 @@ def responses_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.select("lang", "league.id", "position", "line")
 
 
+LISTED_LEAGUES = [140, 39, 45, 2, 3, 143, 135]
+
+
+@query(
+    f"""select doc_id as league_id, count(*) as element_count, max(length(line)) as longest
+        from (select doc_id, unnest(string_split(text, chr(10))) as line from documents
+              where doc_id in ({", ".join(map(str, LISTED_LEAGUES))}))
+        group by 1"""
+)
+def responses_fanout_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The export of the listed leagues only, by the key inside the elements, and its counts."""
+    config = fresh_config(spark, "responses_fanout_listed")
+    schema = store_responses(landed_responses(spark, sf_dir), config, "lines", element=ELEMENT)
+    rows = stored_elements(spark, config, "lines", schema)
+    path = export_by_key(rows, config, "lines_by_league", "league.id", "league_id", LISTED_LEAGUES)
+    stored = sources.read_by_key(spark, path, f"{ELEMENT}, league_id bigint")
+    return stored.groupBy("league_id").agg(
+        F.count("*").alias("element_count"), F.max(F.length("line")).alias("longest")
+    )
+
+
 @query(
     """select lang, doc_id as id, unnest(range(len(lines))) as position, unnest(lines) as line
        from (select lang, doc_id, string_split(text, chr(10)) as lines from documents)"""

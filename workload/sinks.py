@@ -3,7 +3,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerloom import sinks, sources
+from layerloom import functions, sinks, sources
 from layerloom.functions import json_text
 from layerloom.operators import count_by_key, where_equal
 from layerloom.workspace import new_run_dir
@@ -18,13 +18,22 @@ def write_layer_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_layer(spark, config, "silver", "lineitem", lines.schema)
 
 
-@query("select * from events where event_type = 'error'")
+@query("select * from events")
 def write_layer_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     config = fresh_config(spark, "write_layer_partitioned")
     sinks.write_layer(
         events, config, "bronze", "events", partition_by=["event_type"], cluster=False
     )
+    return sources.read_layer(spark, config, "bronze", "events", events.schema)
+
+
+@query("select * from events where event_type = 'error'")
+def scan_layer_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One partition of a partitioned layer: the others' directories are not read."""
+    events = table(spark, sf_dir, "events")
+    config = fresh_config(spark, "scan_layer_pruned")
+    sinks.write_layer(events, config, "bronze", "events", partition_by=["event_type"])
     stored = sources.read_layer(spark, config, "bronze", "events", events.schema)
     return where_equal(stored, "event_type", "error")
 
@@ -133,3 +142,26 @@ def fanout_listed_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_run_dir(spark, "fanout_listed_keys")
     sinks.write_by_key(lines, path, "l_returnflag", "l_returnflag", keys=["A", "R"])
     return sources.read_by_key(spark, path, lines.schema)
+
+
+@query(
+    """select page_id, url, regexp_extract(url, '[?](.+)$', 1) as request from pages"""
+)
+def fanout_capture_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A captured key that is empty for many rows: the files tell it from a null."""
+    pages = table(spark, sf_dir, "pages").select(
+        "page_id", "url", functions.captured("url", "[?](.+)$").alias("request")
+    )
+    path = new_run_dir(spark, "fanout_capture_key")
+    sinks.write_by_key(pages, path, "request", "request_key")
+    stored = sources.read_by_key(spark, path, "page_id bigint, url string, request string")
+    return stored.select("page_id", "url", "request")
+
+
+@query("select * from orders")
+def fanout_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A JSON array per status; no array is lost or cut when all are read back."""
+    orders = table(spark, sf_dir, "orders")
+    path = new_run_dir(spark, "fanout_json_array")
+    sinks.write_json_arrays_by_key(orders, path, "o_orderstatus", "status")
+    return sources.read_json_array(spark, path, orders.schema).select(*orders.columns)

@@ -89,7 +89,7 @@ def records_from_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def scan_whole_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_run_dir(spark, "scan_whole_text")
-    sinks.write_text(table(spark, sf_dir, "documents"), path, "text", rows_per_file=200)
+    sinks.write_text(table(spark, sf_dir, "documents"), path, "text")
     files = sources.read_whole_text(spark, path)
     lines = files.select(F.explode(F.split("value", "\n")).alias("line"))
     return non_blank(lines, "line").groupBy("line").agg(F.count("*").alias("line_count"))
@@ -123,7 +123,7 @@ def scan_json_document(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """select event_type, true as has_bytes
+    """select event_type, true as all_listed, count(*) as row_count
        from events group by 1"""
 )
 def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,17 +131,35 @@ def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = sinks.write_layer(
         table(spark, sf_dir, "events"), config, "bronze", "events", partition_by=["event_type"]
     )
-    files = sources.file_inventory(spark, path)
+    files = named_like(sources.file_inventory(spark, path), "name", PART_FILE_PREFIX, ".parquet")
+    stored = files_read(spark, path, "event_type")
+    same = ["name", "path", "size"]
     return (
-        named_like(files, "name", PART_FILE_PREFIX, ".parquet")
-        .groupBy(F.regexp_extract("path", "event_type=([^/]+)", 1).alias("event_type"))
-        .agg((F.min("size") > 0).alias("has_bytes"))
+        stored.join(files.withColumn("listed", F.lit(True)), same, "left")
+        .groupBy("event_type")
+        .agg(
+            F.every(F.coalesce("listed", F.lit(False))).alias("all_listed"),
+            F.sum("rows").alias("row_count"),
+        )
     )
 
 
+def files_read(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """What Spark's scan itself says of the files it reads: ``name, path, size`` and ``rows``."""
+    file = [
+        F.col("_metadata.file_name").alias("name"),
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_size").alias("size"),
+    ]
+    return spark.read.parquet(path).groupBy(key, *file).agg(F.count("*").alias("rows"))
+
+
 @query(
-    """select 'o_orderstatus=' || o_orderstatus as name, true as is_dir, true as has_bytes
-       from orders group by 1"""
+    """select 'o_orderstatus=' || o_orderstatus as name, true as is_dir, true as same_size,
+              count(*) as row_count
+       from orders group by 1
+       union all
+       select '_SUCCESS', false, true, 0"""
 )
 def directory_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
@@ -150,7 +168,16 @@ def directory_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
         orders, config, "bronze", "orders", partition_by=["o_orderstatus"], cluster=False
     )
     entries = sources.directory_entries(spark, path)
-    return entries.select("name", "is_dir", (F.col("size") > 0).alias("has_bytes"))
+    key = F.concat(F.lit("o_orderstatus="), "o_orderstatus").alias("name")
+    stored = files_read(spark, path, "o_orderstatus").groupBy(key).agg(
+        F.sum("size").alias("bytes"), F.sum("rows").alias("rows")
+    )
+    return entries.join(stored, "name", "left").select(
+        "name",
+        "is_dir",
+        (F.col("size") == F.coalesce("bytes", F.lit(0))).alias("same_size"),
+        F.coalesce("rows", F.lit(0)).alias("row_count"),
+    )
 
 
 def landed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,12 +200,22 @@ def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Valid JSON without results: adds neither rows nor rejects."""
+    """Valid JSON without results: empty requests, with neither elements nor rejects."""
     return table(spark, sf_dir, "events").select(
         F.lit("none").alias("lang"), F.col("props").alias("body")
     )
 
 
+def landed_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's body cut, doubled, and closed early by a body that goes on."""
+    documents = landed_documents(spark, sf_dir)
+    cut = F.substring("body", F.lit(1), F.length("body") - 2)
+    early = F.concat("body", F.lit('], "more": [1'))
+    closed = F.concat("body", F.lit('], "end": true}, {"y": [1'))
+    bodies = F.array(cut, F.concat("body", "body"), early, closed)
+    return documents.select(F.lit("broken").alias("lang"), F.explode(bodies).alias("body"))
+
+
 def landed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_all(
         [land(spark, sf_dir) for land in (landed_documents, landed_pages, landed_events)]
@@ -197,16 +234,28 @@ def ingest_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("lang", "element.league.id", "element.position", "element.line")
 
 
-@query("select 'html' as lang, html as rejected_body from pages")
+@query(
+    """select 'html' as lang, count(*) as request_count, count(distinct html) as body_count
+       from pages
+       union all
+       select 'broken', 4 * count(*), 4 * count(distinct doc_id) from documents"""
+)
 def envelope_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sources.rejected(landed_responses(spark, sf_dir), element=ELEMENT)
+    """Every broken body is a reject, and no other is; rejects keep their bodies."""
+    landed = union_all([landed_responses(spark, sf_dir), landed_broken(spark, sf_dir)])
+    rejects = sources.rejected(landed, element=ELEMENT)
+    return rejects.groupBy("lang").agg(
+        F.count("*").alias("request_count"), F.countDistinct("rejected_body").alias("body_count")
+    )
 
 
 @query(
     """select outcome, lang, count(*) as row_count
        from (select 'accepted' as outcome, lang, unnest(string_split(text, chr(10))) from documents
              union all
-             select 'rejected', 'html', html from pages)
+             select 'rejected', 'html', html from pages
+             union all
+             select 'empty', 'none', props from events)
        group by 1, 2"""
 )
 def envelope_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,8 +30,10 @@ def stream_incremental_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files land between runs; each row carries the run that took it, once."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
     config = fresh_config(spark, "stream_incremental_runs")
-    for number, status in enumerate(("F", "O", "P"), start=1):
-        slice_of_orders = where_equal(orders, "o_orderstatus", status)
+    listed = ("F", "O")
+    slices = [where_equal(orders, "o_orderstatus", status) for status in listed]
+    slices.append(orders.filter(~F.coalesce(F.col("o_orderstatus").isin(*listed), F.lit(False))))
+    for number, slice_of_orders in enumerate(slices, start=1):
         sinks.write_layer(slice_of_orders, config, "bronze", "orders", mode="append")
         stream = new_files(spark, config, "bronze", "orders", orders.schema)
         rows = stream.select("o_orderkey", F.lit(number).alias("run"))
@@ -50,10 +52,24 @@ def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = bronze(raw_orders(spark, sf_dir), ORDERS.source_system)
     config = fresh_config(spark, "stream_silver")
     sinks.write_layer(rows, config, "bronze", ORDERS.raw_table)
-    stream = new_files(
-        spark, config, "bronze", ORDERS.raw_table, rows.schema, max_files_per_batch=4
-    )
+    stream = new_files(spark, config, "bronze", ORDERS.raw_table, rows.schema)
     clean = silver(stream, ORDERS.clean)
     append_new(clean, config, "silver", ORDERS.clean_table, job="orders_clean")
     stored = sources.read_layer(spark, config, "silver", ORDERS.clean_table, clean.schema)
     return stored.drop("ingestion_timestamp", "processed_timestamp")
+
+
+@query("select user_id, event_type from events union all select c_custkey, c_mktsegment from customer")
+def stream_then_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that a stream and a batch writer fill: readers see the rows of both."""
+    events = table(spark, sf_dir, "events").select("user_id", "event_type")
+    customers = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("event_type")
+    )
+    config = fresh_config(spark, "stream_then_batch")
+    sinks.write_layer(events, config, "bronze", "users")
+    append_new(
+        new_files(spark, config, "bronze", "users", events.schema), config, "silver", "users", job="users"
+    )
+    sinks.write_layer(customers, config, "silver", "users", mode="append")
+    return sources.read_layer(spark, config, "silver", "users", events.schema)
