@@ -9,7 +9,7 @@ That equals merging one by one from the left for every vocabulary in which each
 what its own bytes encode to; :func:`vocabulary` checks that.
 
 Most of a text is made of frequent words. The distinct words of a bounded sample are folded
-first, once each, and the ``kept_words`` most frequent of them become a literal too. All
+first, once each, and the ``kept`` most frequent of them become a literal too. All
 other words are folded where they stand, so the sample decides the speed and never the
 result. Nothing is joined or shuffled but the sample's word counts.
 
@@ -26,7 +26,6 @@ An id outside the vocabulary is an error. Other columns play no part.
 from __future__ import annotations
 
 import base64
-import json
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cache
@@ -38,14 +37,18 @@ from pyspark.sql import functions as F
 from layerloom.llm.common import settled, whole_text
 
 SAMPLE_DOCS = 20_000
-KEPT_WORDS = 1 << 17
+KEPT_WORDS = 1 << 16
 
-_BUCKETS = 1 << 16
+_BUCKETS = 1 << 15
 _FIRST = 0x100
 #: Marks in literals; words that hold one are not kept.
 _KEY, _VALUE, _BUCKET = "\x01", "\x02", "\x03"
 _DONE = "\x00"
+#: Above every symbol.
+_NONE = chr(0x10FFFF)
 _SURROGATES = 0xD800, 0x800
+#: Between the pieces of a table: no byte is written so.
+_SYMBOL_MARK = chr(_FIRST)
 
 
 @dataclass(frozen=True)
@@ -102,12 +105,19 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def _rank_map(words: Vocabulary) -> Column:
-    """From a pair of symbols to the merged one, by the hash of the pair."""
-    buckets: list[dict[str, str]] = [{} for _ in range(_BUCKETS)]
+    """The merges of each hash bucket, as a mark, the pair of symbols and the merged one."""
+    buckets = [_NONE] * _BUCKETS
     for token, (one, other) in words.pairs.items():
         pair = _symbol(one) + _symbol(other)
-        buckets[_bucket(pair)][pair] = _symbol(token)
-    return F.from_json(F.lit(json.dumps(buckets)), "array<map<string,string>>")
+        buckets[_bucket(pair)] += _KEY + pair + _symbol(token)
+    return F.split(F.lit(_BUCKET.join(buckets)), _BUCKET)
+
+
+def _merge_of(pair: Column, rank_map: Column) -> Column:
+    """The symbol a pair merges to. Without one it is what its bucket begins with."""
+    entries, sought = F.get(rank_map, _bucket_column(pair)), F.concat(F.lit(_KEY), pair)
+    behind = F.call_function("substring_index", entries, sought, F.lit(-1))
+    return F.substring(behind, 1, 1)
 
 
 def _pair_table(words: Vocabulary) -> Column:
@@ -129,11 +139,11 @@ def folded(word: Column, words: Vocabulary) -> Column:
         parts = F.split(symbols, "")
         # The last pair has no second part, and so no merge.
         pairs = F.zip_with(parts, F.slice(parts, 2, F.length(symbols)), lambda a, b: F.concat(a, b))
-        best = F.array_min(F.transform(pairs, lambda p: F.get(rank_map, _bucket_column(p))[p]))
+        best = F.array_min(F.transform(pairs, lambda p: _merge_of(p, rank_map)))
         return _let(
             best,
-            lambda m: F.coalesce(
-                F.replace(symbols, F.get(pair_of, _token(m)), m), F.concat(symbols, F.lit(_DONE))
+            lambda m: F.when(m < _NONE, F.replace(symbols, F.get(pair_of, _token(m)), m)).otherwise(
+                F.concat(symbols, F.lit(_DONE))
             ),
         )
 
@@ -247,7 +257,9 @@ def id_array(ids: Column) -> Column:
 
 def decoded(ids: Column, rank_file: str) -> Column:
     """The bytes of an array of ids: the binary pieces, concatenated."""
-    pieces = [piece.hex() for piece in vocabulary(rank_file).pieces]
-    table = F.split(F.lit(",".join(pieces)), ",")
-    # Joined in hexadecimal, since a join takes strings; element_at is an error outside the table.
-    return F.unhex(F.array_join(F.transform(ids, lambda i: F.element_at(table, i + 1)), ""))
+    # A byte is written as the character of its number, since a join takes strings.
+    pieces = [piece.decode("latin-1") for piece in vocabulary(rank_file).pieces]
+    table = F.split(F.lit(_SYMBOL_MARK.join(pieces)), _SYMBOL_MARK)
+    # element_at is an error outside the table.
+    joined = F.array_join(F.transform(ids, lambda i: F.element_at(table, i + 1)), "")
+    return F.encode(joined, "ISO-8859-1")
