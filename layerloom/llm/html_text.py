@@ -56,7 +56,7 @@ _NAME = re.compile(r"[a-z0-9]+")
 
 
 class _Lines(HTMLParser):
-    """Collects ``[text, characters in links, in an article]`` lines; stripped ones are empty."""
+    """Collects ``(text, characters in links, in an article)`` lines; stripped ones are empty."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -65,6 +65,7 @@ class _Lines(HTMLParser):
         self.links = 0
         self._parts: list[str] = []
         self._linked = 0
+        self._stripped = False  # whether the line holds text that is stripped
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS:
@@ -93,16 +94,19 @@ class _Lines(HTMLParser):
         self.handle_starttag(tag, attrs)
 
     def handle_data(self, data: str) -> None:
+        if self.open and self.open[-1][1]:
+            self._stripped = self._stripped or not data.isspace()
+            return
         self._parts.append(data)
         if self.links:
             self._linked += len(data)
 
     def end_line(self) -> None:
         text = " ".join("".join(self._parts).split())
-        if text:
-            _, stripped, article = self.open[-1] if self.open else ("", False, False)
-            self.lines.append(("", 0, article) if stripped else (text, self._linked, article))
-        self._parts, self._linked = [], 0
+        if text or self._stripped:
+            article = bool(self.open) and self.open[-1][2]
+            self.lines.append((text, self._linked, article))
+        self._parts, self._linked, self._stripped = [], 0, False
 
     @staticmethod
     def _strips(tag: str, attrs: dict[str, str | None], article: bool) -> bool:
