@@ -18,7 +18,6 @@ label like any other. A path is compared as it is: case and escapes count.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from functools import reduce
 from typing import NamedTuple
 
 import pandas as pd
@@ -28,7 +27,7 @@ from pyspark.sql import functions as F
 BLOCK_RULES = 200_000
 ALLOW, BLOCK = "allow", "block"
 
-_HIT = "struct<rule:string,verdict:string,length:int>"
+_HIT = "struct<length:int,blocks:int,rule:string,verdict:string>"
 
 
 class Rule(NamedTuple):
@@ -129,18 +128,13 @@ def judged(
         _matcher(pages, rules[at : at + block_rules])("host", "path")
         for at in range(0, len(rules), block_rules)
     ] or [F.lit(None).cast(_HIT)]
-    best = reduce(
-        lambda one, other: F.when(_rank(other) > _rank(one), other).otherwise(one), hits
-    )
+    # The greatest struct: the longest rule, of equals a block. One without a rule is the least.
+    best = F.array_max(F.array(*hits))
     hit = parted.select("*", best.alias("hit"))
     verdict = F.coalesce("hit.verdict", F.lit(default)).alias("verdict")
     return hit.select(*others, "host", "path", F.col("hit.rule").alias("rule"), verdict)
 
 
-def _rank(hit: Column) -> Column:
-    return F.coalesce(hit["length"] * 2 + (hit["verdict"] == BLOCK).cast("int"), F.lit(-1))
-
-
 def _matcher(pages: DataFrame, rules: Sequence[Rule]):
     """A pandas UDF over one block's trie, which each worker gets once."""
     shared = pages.sparkSession.sparkContext.broadcast(Trie(rules))
@@ -149,8 +143,8 @@ def _matcher(pages: DataFrame, rules: Sequence[Rule]):
     def match(hosts: pd.Series, paths: pd.Series) -> pd.DataFrame:
         longest = shared.value.longest
         hits = [longest(host, path) for host, path in zip(hosts, paths, strict=True)]
-        rows = [(e.text, e.verdict, len(e.text)) if e else (None, None, None) for e in hits]
-        frame = pd.DataFrame(rows, columns=["rule", "verdict", "length"])
-        return frame.astype({"length": "Int32"})
+        rows = [(len(e.text), int(e.verdict == BLOCK), e.text, e.verdict) if e else (None,) * 4 for e in hits]
+        frame = pd.DataFrame(rows, columns=["length", "blocks", "rule", "verdict"])
+        return frame.astype({"length": "Int32", "blocks": "Int32"})
 
     return match
