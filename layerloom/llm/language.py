@@ -71,9 +71,9 @@ class Filters:
                 counts[number] += int(((masks[:, word] >> np.uint64(bit)) & np.uint64(1)).sum())
         if not total or not self.names:
             return UNDETERMINED, 0.0
-        corrected = (counts - total * self.wrong_rates) / (1 - self.wrong_rates)
+        corrected = np.maximum((counts - total * self.wrong_rates) / (1 - self.wrong_rates), 0)
         best = int(np.argmax(corrected))  # the first of equals; names are in order of choice
-        return self.names[best], float(min(max(corrected[best] / total, 0.0), 1.0))
+        return self.names[best], float(min(corrected[best] / total, 1.0))
 
 
 def built(languages: dict[str, np.ndarray]) -> Filters:
