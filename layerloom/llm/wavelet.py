@@ -23,7 +23,6 @@ from __future__ import annotations
 import io
 import os
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -39,8 +38,8 @@ from layerloom.workspace import new_run_dir
 
 SHARD_TOKENS = 1 << 22
 END_ID = 0
-#: A process keeps the ids of about so many words at hand; it then starts anew.
-KEPT_WORDS = 600_000
+#: A process keeps the ids of so many words at hand; it then starts anew.
+KEPT_WORDS = 300_000
 DIRECTORY_BITS = 512
 
 _SHARDS = "part int, shard int, n_tokens bigint, payload binary"
@@ -184,8 +183,7 @@ class Encoder:
 
     A single space between characters that are not white space always begins a pre-token,
     so what stands between two such spaces has the same ids everywhere. Those words are
-    split and encoded once and kept, and so are their pre-tokens; texts with other white
-    space next to a space are encoded whole.
+    encoded once and kept; texts with other white space next to a space are encoded whole.
     """
 
     def __init__(self, vocabulary: str):
@@ -197,54 +195,29 @@ class Encoder:
         size = self.tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.bits = max(1, (size - 1).bit_length())
-        self.code = "H" if self.dtype.itemsize == 2 else "I"
-        self.words: dict[str, bytes] = {}  # behind a space; none begins or ends in white space
-        self.pretokens: dict[str, bytes] = {}  # as the pre-tokenizer spells them
-        self.space = self.tokenizer.pre_tokenizer.pre_tokenize_str(" a")[0][0][0]
+        self.kept: dict[str, bytes] = {}
 
     def encoded(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, packed in the smallest type that holds them."""
-        split = [text.split(" ") for text in texts]
-        behind = [list(map(self.words.get, words[1:])) for words in split]
-        self._learn({w for words, ids in zip(split, behind, strict=True) for w in _missing(words, ids)})
-        starts = []
-        for number, (text, words) in enumerate(zip(texts, split, strict=True)):
-            if None in behind[number]:
-                behind[number] = list(map(self.words.get, words[1:]))
-            # A word that can't be kept makes its text one whole.
-            whole = None in behind[number] or words[0][-1:].isspace() or not words[0]
-            if whole:
-                behind[number] = []
-            starts.append(text if whole else words[0])
-        found = self.tokenizer.encode_batch_fast(starts, add_special_tokens=False)
-        first = [np.array(one.ids, self.dtype).tobytes() for one in found]
-        return [
-            np.frombuffer(b"".join([own, *ids]), self.dtype) for own, ids in zip(first, behind, strict=True)
-        ]
-
-    def _learn(self, words: set[str]) -> None:
-        if len(self.words) > KEPT_WORDS:
-            self.words.clear()
-        if len(self.pretokens) > KEPT_WORDS:
-            self.pretokens.clear()
-        new = [w for w in words if w and not (w[0].isspace() or w[-1].isspace())]
-        split = self.tokenizer.pre_tokenizer.pre_tokenize_str("".join([" " + w for w in new]))
-        parts: list[list[bytes]] = []
-        for pretoken, _ in split:
-            ids = self.pretokens.get(pretoken)
-            if ids is None:
-                found = [token.id for token in self.tokenizer.model.tokenize(pretoken)]
-                ids = self.pretokens[pretoken] = array(self.code, found).tobytes()
-            # No word holds a space, so each pre-token with one begins the next word.
-            if pretoken[0] == self.space:
-                parts.append([ids])
-            else:
-                parts[-1].append(ids)
-        self.words.update(zip(new, map(b"".join, parts), strict=True))
-
-
-def _missing(words: list[str], ids: list[bytes | None]) -> list[str]:
-    return [w for w, known in zip(words[1:], ids, strict=True) if known is None] if None in ids else []
+        split = [self._words(text) for text in texts]
+        if len(self.kept) > KEPT_WORDS:
+            self.kept = {}
+        kept = self.kept
+        new = list({word for words in split for word in words if word not in kept})
+        for at in range(0, len(new), 4096):
+            part = new[at : at + 4096]
+            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                kept[word] = np.array(found.ids, self.dtype).tobytes()
+        return [np.frombuffer(b"".join([kept[word] for word in words]), self.dtype) for words in split]
+
+    @staticmethod
+    def _words(text: str) -> list[str]:
+        if not text:
+            return []
+        first, *rest = text.split(" ")
+        if any(not word or word[0].isspace() or word[-1].isspace() for word in (first, *rest)):
+            return [text]
+        return [first, *[" " + word for word in rest]]
 
 
 @cache

@@ -1,0 +1,57 @@
+from __future__ import annotations
+
+import base64
+import hashlib
+
+import public_tokenizers as P
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+
+from layerloom.llm import bpe
+from layerloom.llm.queries import QUERIES
+
+FILE = P.path("byte_bpe_multi_50k.tiktoken")
+TEXTS = [
+    None, "", " ", "a  b", " lead", "trail ", "x\n y", "don't we'll", "日本語テキスト 한국어", "a\x01b \x02 c\x03 \x00",
+    "é" * 50, "ab" * 300, "  \n\n  x", " x y z", "<|endoftext|>", "ǅ ⅷ ²", "\u3000", "a\tb c", "a\u00a0 b", "🙂 🙃🙂",
+]
+
+
+@pytest.fixture(scope="module")
+def encode():
+    with open(FILE, "rb") as file:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+    encoding = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return lambda text: encoding.encode_ordinary(text or "")
+
+
+@pytest.mark.parametrize("kept", [0, 50])
+def test_odd_texts(spark, encode, kept):
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(TEXTS)], "n int, text string, row string")
+    found = bpe.encoded(docs, FILE, P.PATTERN, kept=kept)
+    assert found.columns == ["n", "text", "row", "ids"]
+    ids = bpe.id_array(F.col("ids"))
+    for row in found.select("text", ids.alias("ids"), bpe.decoded(ids, FILE).alias("bytes")).collect():
+        assert row.ids == encode(row.text)
+        assert bytes(row.bytes) == (row.text or "").encode()
+    assert bpe.encoded(docs.limit(0), FILE, P.PATTERN, kept=kept).count() == 0
+
+
+def test_query_equals_the_library(spark, encode):
+    sf_dir = "/root/testdata/sf0.001"
+    found = {r.doc_id: r for r in QUERIES["op2_byte_bpe"](spark, sf_dir).collect()}
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    assert len(found) == len(docs)
+    for row in docs:
+        ids, own = encode(row.text), found[row.doc_id]
+        assert own.n_tokens == len(ids)
+        assert own.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert own.decoded_sha256 == hashlib.sha256(row.text.encode()).hexdigest()
+
+
+def test_every_token_is_what_its_bytes_encode_to():
+    words = bpe.vocabulary(FILE)
+    for token, (one, other) in words.pairs.items():
+        assert words.pieces[one] + words.pieces[other] == words.pieces[token]
+        assert max(one, other) < token or min(map(len, (words.pieces[one], words.pieces[other]))) == 1

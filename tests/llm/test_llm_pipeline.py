@@ -1,0 +1,48 @@
+from __future__ import annotations
+
+import base64
+import hashlib
+import sys
+from pathlib import Path
+
+import public_tokenizers as P
+import tiktoken
+
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+import corpus_pipeline
+from test_llm_simhash import brute_components, brute_print
+
+
+def test_run_equals_brute_force(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    kept = {r.text or "": r for r in sorted(docs, key=lambda r: r.doc_id) if any(c.isalpha() for c in r.text or "")}
+    groups = brute_components({r.doc_id: brute_print(r.text) for r in kept.values()})
+    want = {r.doc_id: r for r in kept.values() if groups[r.doc_id] == r.doc_id}
+    found = corpus_pipeline.run(spark, sf_dir).collect()
+    assert sorted(r.doc_id for r in found) == sorted(want)
+    with open(P.path("byte_bpe_multi_50k.tiktoken"), "rb") as file:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+    encoding = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    for row in found:
+        own = want[row.doc_id]
+        assert (row.text, row.lang, row.source, row.n_chars) == (own.text, own.lang, own.source, own.n_chars)
+        assert row.ids == encoding.encode_ordinary(own.text)
+        assert row.decoded_sha256 == hashlib.sha256(own.text.encode()).hexdigest()
+
+
+def test_stages_keep_the_columns_and_take_odd_rows(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(30)
+    odd = [(None, "un texte sans nom", None, None, None), (1000, None, "en", "s", 0), (1001, "", None, "s", 0), (1002, "12 !", "en", None, 4)]
+    rows = docs.unionByName(spark.createDataFrame(odd, docs.schema))
+    for part in (rows, rows.limit(0)):
+        out = part
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, out, str(tmp_path))
+            assert out.columns == docs.columns
+        ids = {r.doc_id for r in corpus_pipeline.STAGES[-1][1](spark, out, str(tmp_path)).collect()}
+        assert not ids & {1000, 1001, 1002}
+    assert [name for name, _ in corpus_pipeline.STAGES] == [
+        "language_id", "exact_dedup", "simhash_near_dedup", "source_mix", "byte_bpe"
+    ]

@@ -1,0 +1,75 @@
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import public_tokenizers as P
+import pytest
+from tokenizers import Tokenizer
+
+from layerloom.llm import wavelet
+from layerloom.llm.queries import QUERIES
+
+FILE = P.path("byte_bpe_50k.json")
+
+
+@pytest.mark.parametrize("length", [0, 1, 511, 512, 513, 5000])
+def test_access_rank_and_select(length):
+    rng = np.random.default_rng(length)
+    ids = rng.integers(0, 40, length).astype("<u2")
+    payload = wavelet.written(wavelet.WaveletMatrix.of(ids, 16), np.arange(2), np.arange(2))
+    matrix, doc_ids, lengths = wavelet.opened(payload)
+    assert doc_ids.tolist() == lengths.tolist() == [0, 1]
+    assert np.array_equal(matrix.all(np.dtype("<u2")), ids)
+    for position in range(0, length, 37):
+        assert matrix.access(position) == ids[position]
+        assert matrix.rank(7, position) == (ids[:position] == 7).sum()
+    for token in (0, 7, 39, 50_000, 1 << 20):
+        assert matrix.count(token) == (ids == token).sum()
+    assert matrix.occurrences(7) == np.flatnonzero(ids == 7).tolist()
+    for bad in (-1, length):
+        with pytest.raises(IndexError):
+            matrix.access(bad)
+    with pytest.raises(IndexError):
+        matrix.select(7, matrix.count(7))
+
+
+@pytest.fixture(scope="module")
+def encode():
+    tokenizer = Tokenizer.from_file(FILE)
+    tokenizer.encode_special_tokens = True
+    return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
+
+
+def expected(rows, encode):
+    out, start = [], 0
+    for doc_id, text in rows:
+        ids = encode(text)
+        out.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    return out
+
+
+def test_query_equals_the_library(spark, encode):
+    sf_dir = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
+    found = QUERIES["op9_wavelet_shards"](spark, sf_dir).orderBy("doc_id").collect()
+    assert [tuple(r) for r in found] == expected(docs, encode)
+
+
+@pytest.mark.parametrize("shard_tokens", [1, 50, 1 << 22])
+def test_odd_texts(spark, encode, shard_tokens):
+    texts = ["", " ", "a  b", " lead", "trail ", "x\n y", "\n", "don't  ", "a\n b c", "日本 語", "<|endoftext|> x", "word " * 3000, "a\u00a0 b"]
+    rows = [(None, None), *enumerate(texts)]
+    docs = spark.createDataFrame([(*row, "x") for row in rows], "doc_id bigint, text string, tie string").repartition(3)
+    path = wavelet.write_shards(docs, FILE, shard_tokens=shard_tokens)
+    found = wavelet.read_documents(spark, path).collect()
+    assert sorted(map(tuple, found), key=lambda r: r[1]) == expected(rows, encode)
+
+
+def test_repeats_and_no_rows(spark, encode):
+    docs = spark.createDataFrame([(1, "same"), (1, "same"), (1, "other"), (0, "first")], "doc_id bigint, text string")
+    found = sorted(wavelet.read_documents(spark, wavelet.write_shards(docs, FILE)).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in found] == [0, 1, 1, 1]
+    assert found[-1].start + found[-1].n_tokens == sum(len(encode(t)) for t in ("same", "same", "other", "first"))
+    assert wavelet.read_documents(spark, wavelet.write_shards(docs.limit(0), FILE)).count() == 0
