@@ -15,9 +15,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from layerloom import LayerConfig, operators, plans, sinks, sources  # noqa: E402
 
+# The sample customers with their columns, and the settings document.
 CUSTOMER_SCHEMA = "id string, name string, email string, created_date string, status string"
-
-# The sample customers and the settings document.
 CUSTOMERS = [
     ("1", "John Doe", "john@email.com", "2024-01-01", "active"),
     ("2", "Jane Smith", "jane@email.com", "2024-01-02", "inactive"),

@@ -56,6 +56,7 @@ class LayerFlow:
     metrics: MetricRules
 
 
+# The names of the customer flow's tables and columns.
 CUSTOMERS = LayerFlow(
     source_system=SAMPLE_SOURCE_SYSTEM,
     raw_table="customer_raw",
