@@ -9,6 +9,7 @@ def test_entry_is_the_gold_table(spark):
         ("priority", "string"),
         ("order_count", "bigint"),
         ("latest_order", "date"),
+        ("dated_today", "boolean"),
     ]
     assert result.count() == 5
 

@@ -9,6 +9,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+import workload
 from __spark_entry__ import queries
 from layerloom import operators, sinks, sources
 from layerloom.plans import gold, silver
@@ -101,7 +102,7 @@ def test_narrow_queries_do_not_shuffle(explained, name):
     assert "Exchange" not in explained(name)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(workload.QUERIES))
 def test_no_join_of_all_pairs_and_no_row_python(explained, name):
     text = explained(name)
     for forbidden in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "PythonUDF"):
