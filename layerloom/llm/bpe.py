@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from layerloom.llm.common import settled, whole_text
 
 SAMPLE_DOCS = 20_000
-KEPT_WORDS = 1 << 17
+KEPT_WORDS = 96_000
 
 _BUCKETS = 1 << 15
 _FIRST = 0x100
@@ -203,7 +203,7 @@ def _kept_table(kept: dict[str, str]) -> Column:
     """The kept words of each hash bucket, in one string."""
     buckets = [""] * _BUCKETS
     for word, ids in kept.items():
-        buckets[_bucket(word)] += _KEY + word + _VALUE + ids + _KEY
+        buckets[_bucket(word)] += _KEY + word + _VALUE + ids
     return F.split(F.lit(_BUCKET.join(buckets)), _BUCKET)
 
 
