@@ -6,12 +6,13 @@ it placed before slot ``ceil((j+1)/w)``. Of the released blocks the one with the
 deadline takes the slot. With weights that add up to one, every deadline is met, so at any
 slot each source has had its exact share but for less than one block.
 
-Weights are whole numbers of slots out of ``period``. After a period every source has had
-exactly its share, so one period's schedule, a small table, places all blocks: block ``j``
-takes the same place in its period as block ``j`` modulo the source's slots. The rows get
-their block by their rank within their source, counted in parallel: a range partitioning
-splits a hot source over tasks, each task counts its rows, and a small table has what
-comes before each task.
+Weights are exact fractions of the targets, never rounded to slots, and there may be any
+number of sources. Roots of row counts have no common period, so one task places the blocks
+slot by slot, up to the last block of any source. It keeps three numbers a source, whatever
+the number of rows, and writes a small table with a row per block. The rows get their block
+by their rank within their source, counted in parallel: a range partitioning splits a hot
+source over tasks, each task counts its rows, and a small table has what comes before each
+task.
 
 A source that has run out leaves its slots empty; the others keep their places. No row is
 dropped or repeated, so target weights hold up to the slot where a source runs out.
@@ -24,8 +25,10 @@ any order among themselves. An empty table gives an empty result.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator, Mapping
+import math
+from collections.abc import Iterator, Mapping, Sequence
 from fractions import Fraction
+from itertools import count, islice
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -35,6 +38,7 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from layerloom.llm.common import settled
 
+#: Slots that the schedule hands on at a time; it decides no result.
 PERIOD = 1000
 BLOCK_ROWS = 16
 #: A source's weight is its number of rows to this power: below one, small sources gain.
@@ -42,47 +46,43 @@ TEMPERATURE = 0.5
 
 Source = str | None
 
-_PLAN = [StructField(name, LongType()) for name in ("own", "at", "share")]
 
-
-def slots_of(targets: Mapping[Source, float], period: int = PERIOD) -> dict[Source, int]:
-    """Whole slots in proportion to the targets, at least one each, by largest remainder."""
-    if len(targets) > period:
-        raise ValueError(f"{len(targets)} sources need a period of as many slots, not {period}")
+def slots_of(targets: Mapping[Source, float], period: int = PERIOD) -> dict[Source, Fraction]:
+    """Each target's exact share of ``period`` slots, which need not be whole."""
     if any(not weight > 0 for weight in targets.values()):
         raise ValueError("target weights must be above zero")
     total = sum(Fraction(weight) for weight in targets.values())
-    spare = period - len(targets)
-    exact = {source: Fraction(weight) * spare / total for source, weight in targets.items()}
-    slots = {source: 1 + int(share) for source, share in exact.items()}
-    by_rest = sorted(exact, key=lambda s: (int(exact[s]) - exact[s], s is None, s or ""))
-    for source in by_rest[: period - sum(slots.values())]:
-        slots[source] += 1
-    return slots
-
-
-def schedule(slots: Mapping[Source, int]) -> list[tuple[Source, int, int]]:
-    """One period as (source, block, slot), earliest deadline first among released blocks."""
-    period = sum(slots.values())
-    order = sorted(slots, key=lambda s: (s is None, s or ""))
-    releases = [(0, number, 0) for number in range(len(order))]
-    heapq.heapify(releases)
+    return {source: Fraction(weight) * period / total for source, weight in targets.items()}
+
+
+def schedule(slots: Mapping[Source, Fraction | int]) -> list[tuple[Source, int, int]]:
+    """The first period, as many slots as ``slots`` has in sum, as (source, block, slot)."""
+    order = sorted(slots, key=_by_name)
+    placed = islice(_placed([slots[source] for source in order]), math.ceil(sum(slots.values())))
+    return [(order[number], block, slot) for number, block, slot in placed]
+
+
+def _by_name(source: Source) -> tuple[bool, Source]:
+    return source is None, source
+
+
+def _placed(weights: Sequence[Fraction | float]) -> Iterator[tuple[int, int, int]]:
+    """All slots as (number of the source, block, slot), earliest deadline first among released blocks."""
+    exact = [Fraction(weight) for weight in weights]
+    scale = math.lcm(*(weight.denominator for weight in exact))
+    shares = [int(weight * scale) for weight in exact]
+    total = sum(shares)
+    releases = [(0, number, 0) for number in range(len(shares))]
     released: list[tuple[int, int, int]] = []
-    placed = []
-    for slot in range(period):
+    for slot in count():
         while releases and releases[0][0] <= slot:
             _, number, block = heapq.heappop(releases)
-            share = slots[order[number]]
-            deadline = -(-(block + 1) * period // share)
-            heapq.heappush(released, (deadline, number, block))
+            heapq.heappush(released, (-(-(block + 1) * total // shares[number]), number, block))
         deadline, number, block = heapq.heappop(released)
         if slot >= deadline:
             raise AssertionError("a deadline was missed")
-        placed.append((order[number], block, slot))
-        share = slots[order[number]]
-        if block + 1 < share:
-            heapq.heappush(releases, ((block + 1) * period // share, number, block + 1))
-    return placed
+        yield number, block, slot
+        heapq.heappush(releases, ((block + 1) * total // shares[number], number, block + 1))
 
 
 def mixed(
@@ -100,44 +100,72 @@ def mixed(
     Columns of these names are replaced. Without ``targets`` the weights are the sources'
     row counts to the power ``temperature``. Sources missing from the targets are an error.
     """
-    counts = {row[source]: row["count"] for row in docs.groupBy(source).count().limit(period + 1).collect()}
-    if targets is None:
-        targets = {name: count**temperature for name, count in counts.items()}
-    if missing := set(counts) - set(targets):
-        raise ValueError(f"no target weight for {sorted(map(str, missing))}")
-    present = {name: weight for name, weight in targets.items() if name in counts}
-    slots = slots_of(present, period) if present else {}
-    ranked = _ranked(docs, source, doc_id)
-    plan = docs.sparkSession.createDataFrame(
-        [(name, own, at, slots[name]) for name, own, at in schedule(slots)],
-        StructType([StructField("of", docs.schema[source].dataType), *_PLAN]),
-    )
-    # At most ``period`` rows, so a broadcast is bounded whatever the data.
-    shares = F.broadcast(plan.select("of", "share").distinct())
-    in_source = F.col("source").eqNullSafe(F.col("of"))
-    blocks = ranked.join(shares, in_source).select(
+    counts = settled(docs.groupBy(F.col(source).alias("of")).agg(F.count("*").alias("rows")), "sources")
+    if targets is not None:
+        # One more than the caller has listed is enough to tell that one is missing.
+        present = {row["of"] for row in counts.select("of").limit(len(targets) + 1).collect()}
+        if missing := present - set(targets):
+            raise ValueError(f"no target weight for {sorted(map(str, missing))}")
+        targets = slots_of({name: targets[name] for name in present})
+    plan = settled(_plan(counts, targets, temperature, block_rows, period), "plan")
+    blocks = _ranked(docs, source, doc_id).select(
         "row",
         "source",
-        "share",
-        (F.expr(f"rank div {block_rows}")).alias("block"),
+        F.expr(f"rank div {block_rows}").alias("block"),
         F.pmod("rank", F.lit(block_rows)).cast("int").alias("place"),
     )
-    placed = blocks.join(
-        F.broadcast(plan.drop("share")), in_source & (F.pmod("block", "share") == F.col("own"))
-    )
-    slot = F.expr("block div share") * period + F.col("at")
+    placed = blocks.join(plan, F.col("source").eqNullSafe(F.col("of")) & (F.col("block") == F.col("own")))
     others = [c for c in docs.columns if c not in ("block", "slot", "place")]
     return placed.select(
-        *(F.col("row").getField(c).alias(c) for c in others), "block", slot.alias("slot"), "place"
+        *(F.col("row").getField(c).alias(c) for c in others), "block", F.col("at").alias("slot"), "place"
     )
 
 
+def _plan(
+    counts: DataFrame,
+    targets: Mapping[Source, Fraction] | None,
+    temperature: float,
+    block_rows: int,
+    period: int,
+) -> DataFrame:
+    """``of, own, at``: the slot of each block that has rows."""
+    of = counts.schema["of"]
+    schema = StructType([of, StructField("own", LongType()), StructField("at", LongType())])
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sizes, kind = {}, None
+        for batch in batches:
+            sizes |= dict(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+            kind = batch.schema.field(0).type
+        if not sizes:
+            return
+        order = sorted(sizes, key=_by_name)
+        weights = [sizes[name] ** temperature if targets is None else targets[name] for name in order]
+        blocks = [-(-sizes[name] // block_rows) for name in order]
+        slots, left = _placed(weights), sum(blocks)
+        while left:
+            # Those of sources that have run out stay empty.
+            taken = [found for found in islice(slots, period) if found[1] < blocks[found[0]]]
+            left -= len(taken)
+            columns = [
+                pa.array([order[number] for number, _, _ in taken], kind),
+                pa.array([block for _, block, _ in taken], pa.int64()),
+                pa.array([slot for _, _, slot in taken], pa.int64()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
+
+    return counts.coalesce(1).mapInArrow(placed, schema)
+
+
+def mix_sorted(placed: DataFrame) -> DataFrame:
+    """Rows with ``slot`` and ``place`` sorted by them: partitions in order, rows in each."""
+    return placed.repartitionByRange("slot", "place").sortWithinPartitions("slot", "place")
+
+
 def in_mixed_order(docs: DataFrame, **options) -> DataFrame:
     """The rows as they are, sorted into the mix: files in order of their names, rows in each."""
     rows = docs.select(F.struct("*").alias("row"), F.col("source"), F.col("doc_id"))
-    placed = mixed(rows, **options)
-    ordered = placed.repartitionByRange("slot", "place").sortWithinPartitions("slot", "place")
-    return ordered.select("row.*")
+    return mix_sorted(mixed(rows, **options)).select("row.*")
 
 
 def _ranked(docs: DataFrame, source: str, doc_id: str) -> DataFrame:

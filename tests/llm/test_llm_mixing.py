@@ -74,3 +74,38 @@ def test_targets(spark):
     with pytest.raises(ValueError):
         mixing.mixed(docs, {"a": 1, "b": 0})
     assert mixing.mixed(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "targets",
+    [
+        {"a": 9, "b": 1},
+        {"hot": 500.0, **{f"s{i:03}": 1.0 for i in range(500)}},
+        {"hot": 1000**0.5, **{f"s{i:02}": (100 + i) ** 0.5 for i in range(19)}},
+        {f"s{i:04}": 1 + i % 3 for i in range(1200)},
+    ],
+    ids=["nine to one", "500 small sources", "hot third", "1200 sources"],
+)
+def test_prefixes_are_within_one_block_of_the_targets(targets):
+    plan = mixing.schedule(mixing.slots_of(targets, 2500))
+    assert [slot for _, _, slot in plan] == list(range(2500))
+    had, total = Counter(), sum(map(Fraction, targets.values()))
+    for source, block, slot in plan:
+        weight = Fraction(targets[source]) / total
+        assert block == had[source] and block / weight < slot + 1 and slot < (block + 1) / weight
+        had[source] += 1
+    assert all(abs(had[s] - Fraction(w) * 2500 / total) < 1 for s, w in targets.items())
+
+
+def test_rows_follow_the_targets_of_many_sources(spark):
+    names = ["hot"] * 1100 + [f"s{i}" for i in range(1100)]
+    docs = spark.createDataFrame(list(enumerate(names)), "doc_id int, source string").repartition(4)
+    found = mixing.mixed(docs, {"hot": 1100.0, **{f"s{i}": 1.0 for i in range(1100)}}, block_rows=1).collect()
+    assert sorted(r.doc_id for r in found) == list(range(2200))
+    order = sorted((r.slot, r.source) for r in found)
+    assert [slot for slot, _ in order] == list(range(2200))
+    had = 0
+    for slot, source in order:
+        had += source == "hot"
+        assert abs(had - (slot + 1) / 2) < 1
+    assert mixing.mixed(docs).count() == 2200  # by row counts, beyond a thousand sources
