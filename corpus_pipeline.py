@@ -7,8 +7,10 @@ encodes what is left. Every stage is written and read back, so a lost executor c
 earlier stage.
 
 Mixing keeps every row. Its decision is the order: the part files, by name, and the rows in
-them follow the mix, and the rows of a stage that returns the columns of the documents have
-no other place for it. The last stage returns the documents with their ids.
+them follow the mix. A later scan packs files by size and so loses that order, and the rows of
+a stage that returns the columns of the documents have no other place for it. So the last
+stage works the places out again, from all its rows, and returns the documents with their ids
+and with ``block``, ``slot`` and ``place``; its part files are in that order too.
 """
 
 from __future__ import annotations
@@ -50,7 +52,9 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = bpe.encoded(docs, ranks, public_tokenizers.PATTERN)
+    placed = mixing.mix_sorted(mixing.mixed(docs))
+    # The frequent words are of the rows as they were read, so that they are not sorted twice.
+    encoded = bpe.encoded(placed, ranks, public_tokenizers.PATTERN, sampled=docs)
     ids = bpe.id_array(F.col("ids"))
     decoded = F.sha2(bpe.decoded(ids, ranks), 256)
     return encoded.withColumns(

@@ -226,13 +226,16 @@ def encoded(
     text: str = "text",
     sample_docs: int = SAMPLE_DOCS,
     kept: int = KEPT_WORDS,
+    sampled: DataFrame | None = None,
 ) -> DataFrame:
     """The rows with ``ids``, the ids of the whole text as decimal numbers with commas between.
 
-    A column of that name is replaced.
+    A column of that name is replaced. The frequent words are those of ``sampled``, or of the
+    rows themselves; they decide the speed and no result.
     """
     words = vocabulary(rank_file)
-    frequent = _kept_table(kept_words(docs, text, words, pattern, sample_docs, kept))
+    source = docs if sampled is None else sampled
+    frequent = _kept_table(kept_words(source, text, words, pattern, sample_docs, kept))
 
     def numbers(word: Column, table: Column) -> Column:
         return F.coalesce(_kept_ids(word, table), _numbers(folded(word, words), words))

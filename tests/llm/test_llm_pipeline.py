@@ -3,14 +3,19 @@ from __future__ import annotations
 import base64
 import hashlib
 import sys
+from collections import Counter
+from fractions import Fraction
 from pathlib import Path
 
 import public_tokenizers as P
 import tiktoken
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import corpus_pipeline
+
+from layerloom.llm import mixing
 from test_llm_simhash import brute_components, brute_print
 
 
@@ -46,3 +51,28 @@ def test_stages_keep_the_columns_and_take_odd_rows(spark, tmp_path):
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "language_id", "exact_dedup", "simhash_near_dedup", "source_mix", "byte_bpe"
     ]
+
+
+def test_rows_and_files_of_the_run_follow_the_mix(spark):
+    rows = corpus_pipeline.run(spark, "/root/testdata/sf0.01")
+    found = rows.select("source", "block", "slot", "place", F.input_file_name().alias("file")).collect()
+    mix = sorted(found, key=lambda r: (r.slot, r.place))
+    sizes = Counter(r.source for r in mix)
+    assert len({(r.slot, r.place) for r in mix}) == len(mix)
+    weights = {s: Fraction(n**mixing.TEMPERATURE) for s, n in sizes.items()}
+    total, had = sum(weights.values()), Counter()
+    # Until the first source runs out every prefix has the targets' shares, but for one block.
+    whole = {s: n // mixing.BLOCK_ROWS for s, n in sizes.items()}
+    for slot in range(max(r.slot for r in mix)):
+        block = [r for r in mix if r.slot == slot]
+        if any(had[s] >= n for s, n in whole.items()):
+            break
+        assert len({(r.source, r.block) for r in block}) == 1 and len(block) == mixing.BLOCK_ROWS
+        had[block[0].source] += 1
+        assert all(abs(had[s] - w * (slot + 1) / total) < 1 for s, w in weights.items())
+    assert sum(had.values()) >= 10
+    files = {}
+    for row in found:
+        files.setdefault(row.file, []).append((row.slot, row.place))
+    in_files = [at for name in sorted(files) for at in files[name]]
+    assert in_files == sorted(in_files)
