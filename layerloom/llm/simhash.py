@@ -166,10 +166,11 @@ def near_groups(
     radius: int = 3,
     bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
-    """``doc_id, digest, print, component_id``: a row per row of ``docs``.
+    """``doc_id, digest, print, root, component_id``: a row per row of ``docs``.
 
-    ``print`` is the fingerprint as a signed number; the component's id is the smallest
-    ``doc_id`` that links reach, the row's own included.
+    ``print`` is the fingerprint as a signed number, ``root`` the fingerprint that names the
+    component; the component's id is the smallest ``doc_id`` that links reach, the row's own
+    included. Components that share a repeated id share that id, but never a root.
     """
     marked = docs.select(
         F.col(doc_id).alias("doc_id"),
@@ -185,7 +186,7 @@ def near_groups(
     )
     rooted = settled(rooted, "rooted")
     firsts = settled(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "groups")
-    named = settled(rooted.join(firsts, "root").select("fingerprint", "component_id"), "named")
+    named = settled(rooted.join(firsts, "root").select("fingerprint", "root", "component_id"), "named")
     return marked.join(named, F.col("print") == F.col("fingerprint")).drop("fingerprint")
 
 
@@ -197,8 +198,8 @@ def one_of_each_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     """The rows that stay, with all columns: of each group the one with the smallest id."""
     groups = near_groups(docs, doc_id, text, **options)
     first = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    # Rows that repeat an id but not the text are told apart by their digest.
+    # An id can be the smallest of several components, so their roots tell them apart.
     each = F.when(F.col("doc_id").isNull(), F.col("digest")).alias("each")
-    keepers = first.groupBy("doc_id", each).agg(F.min(F.struct("print", "digest")).alias("kept"))
-    keepers = keepers.select("doc_id", F.col("kept.digest").alias("digest"))
+    keepers = first.groupBy("root", each).agg(F.min(F.struct("doc_id", "print", "digest")).alias("kept"))
+    keepers = keepers.select("kept.doc_id", "kept.digest")
     return rows_named(docs, settled(keepers, "keepers"), doc_id, text)

@@ -92,3 +92,10 @@ def test_one_of_each_group_stays(spark):
     assert sorted((r.doc_id or 0, r.text) for r in kept.collect() if r.text) [0] == (0, "z y x")
     assert {r.doc_id for r in kept.collect()} == {None, 3, 8}
     assert simhash.near_groups(docs.limit(0)).count() == simhash.one_of_each_group(docs.limit(0)).count() == 0
+
+
+def test_groups_that_share_their_smallest_id_each_keep_a_text(spark):
+    long = " ".join(f"w{i}" for i in range(400))
+    rows = [(5, long, 1, "a"), (3, long + " end", 2, "b"), (3, "q r s", 3, "c"), (4, "q r s", 4, "d"), (None, "z y x", 5, "e")]
+    kept = simhash.one_of_each_group(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == [(0, "z y x"), (3, "q r s"), (3, long + " end")]
