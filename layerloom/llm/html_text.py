@@ -4,13 +4,15 @@ A page becomes lines: each block of the markup is one, its white space turned in
 spaces. Lines that the markup itself names as something else (navigation, a page header or
 footer, a sidebar, an advert, a form, a notice, reader comments, code) are stripped to
 length zero, and so is everything outside the articles of a page that marks its articles.
-The lengths of the lines in a sliding window are then summed. Where the sum surges above
-the threshold a passage begins, where it dives to zero it ends, and all text between is
-kept. A short line inside a passage thus stays, and one amid stripped lines goes.
+The lengths of the lines in a sliding window are then summed. A stretch of lines begins where
+the sum rises from zero and ends where it dives to zero; if it surges above the threshold
+anywhere within, the stretch is a passage and all its text is kept. A short line inside a
+passage thus stays, and one amid stripped lines goes.
 
-A page that marks an article has threshold zero: its passages are the article. Without such
-a mark, lines that are mostly links are stripped too, the threshold is ``surge_chars``,
-and passages far smaller than the largest are left out.
+A page that marks an article has threshold zero: its passages are the article, whatever the
+sums. Without such a mark the threshold is ``surge_chars``, and lines that are mostly links
+count as empty, so that menus end a passage; between lines of a passage they are kept. Each
+passage is judged by its own sums, however long the others are.
 
 Defined cases: null or empty HTML has an empty text. Broken, unclosed or cut markup is read
 as far as it goes. Other columns play no part, whatever their names.
@@ -27,7 +29,6 @@ from pyspark.sql import functions as F
 
 WINDOW_LINES = 3
 SURGE_CHARS = 80
-LEAST_SHARE = 0.3
 LINK_SHARE = 0.6
 
 # Element names of the HTML standard and the names pages use for their parts.
@@ -124,33 +125,24 @@ def main_text(
     html: str | None,
     window_lines: int = WINDOW_LINES,
     surge_chars: int = SURGE_CHARS,
-    least_share: float = LEAST_SHARE,
 ) -> str:
     reader = _Lines()
     reader.feed(html or "")
     reader.close()
     reader.end_line()
     lines = reader.lines
+    texts = [text for text, _, _ in lines]
     if any(text and article for text, _, article in lines):
         texts = [text if article else "" for text, _, article in lines]
-        surge_chars, least_share = 0, 0.0
+        lengths, surge_chars = [len(text) for text in texts], 0
     else:
-        texts = ["" if linked > LINK_SHARE * len(text) else text for text, linked, _ in lines]
-    passages = _passages([len(text) for text in texts], window_lines, surge_chars)
-    sizes = [sum(len(text) for text in texts[start:end]) for start, end in passages]
-    least = least_share * max(sizes, default=0)
-    kept = [
-        text
-        for (start, end), size in zip(passages, sizes, strict=True)
-        if size >= least
-        for text in texts[start:end]
-        if text
-    ]
-    return "\n\n".join(kept)
+        lengths = [0 if linked > LINK_SHARE * len(text) else len(text) for text, linked, _ in lines]
+    passages = _passages(lengths, window_lines, surge_chars)
+    return "\n\n".join(text for start, end in passages for text in texts[start:end] if text)
 
 
 def _passages(lengths: list[int], window_lines: int, surge_chars: int) -> list[tuple[int, int]]:
-    """From each surge point to the next dive point.
+    """The stretches between dive points in which a window surges.
 
     If no window reaches the threshold, the fullest window is the surge: a page with any
     text has a main text.
@@ -159,11 +151,12 @@ def _passages(lengths: list[int], window_lines: int, surge_chars: int) -> list[t
     surge = min(surge_chars, max(sums, default=0) - 1)
     passages, at = [], 0
     while at < len(sums):
-        if sums[at] > surge and lengths[at]:
+        if lengths[at]:
             end = at
             while end < len(sums) and sums[end]:
                 end += 1
-            passages.append((at, end))
+            if max(sums[at:end]) > surge:
+                passages.append((at, end))
             at = end
         at += 1
     return passages

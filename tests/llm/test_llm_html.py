@@ -34,6 +34,21 @@ def test_page_without_marks_keeps_its_dense_lines():
     assert html_text.main_text(page) == f"{long.strip()}\n\nShort.\n\n{long.strip()}"
 
 
+def test_page_without_marks_keeps_sections_split_by_stripped_blocks():
+    long = " ".join(["The first section goes on for a good while."] * 40)
+    closing = "A closing section is shorter by far than the first one, and yet belongs to the article."
+    source = "An article in full that the text links to as its source."
+    ads = "<div class=ad>x</div>" * 3
+    page = f"<h2>Short head.</h2><p>By me.</p>{ads}<p>{long}</p><p><a href=x>{source}</a></p><p>{long}</p>{ads}<p>{closing}</p>{ads}<p>(c) me</p>"
+    assert html_text.main_text(page) == f"{long}\n\n{source}\n\n{long}\n\n{closing}"
+
+
+def test_passage_begins_with_its_short_lines():
+    long = "A paragraph that is long enough for a surge of the sums over any window of three lines."
+    page = f"<p>One.</p><p>Two.</p><p>Three.</p><p>Four.</p><p>{long}</p>"
+    assert html_text.main_text(page) == f"One.\n\nTwo.\n\nThree.\n\nFour.\n\n{long}"
+
+
 def test_rows(spark):
     rows = [(1, "u", "<article>é&#128578;</article>", "mine", 5), (2, None, None, "mine", 5)]
     pages = spark.createDataFrame(rows, "page_id int, url string, html string, row string, n_chars int")
