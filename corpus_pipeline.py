@@ -1,10 +1,9 @@
 """A training corpus from raw documents: five stages, each on all that the one before kept.
 
-Language identification drops texts without a letter or without any n-gram of a known
-language; exact dedup keeps one of equal texts; SimHash near-dedup keeps one of each group
-of near copies; mixing orders the rows by a Pfair schedule of their sources; byte-level BPE
-encodes what is left. Every stage is written and read back, so a lost executor costs no
-earlier stage.
+Language identification drops texts without a letter, and only those; exact dedup keeps one
+of equal texts; SimHash near-dedup keeps one of each group of near copies; mixing orders the
+rows by a Pfair schedule of their sources; byte-level BPE encodes what is left. Every stage is
+written and read back, so a lost executor costs no earlier stage.
 
 Mixing keeps every row. Its decision is the order: the part files, by name, and the rows in
 them follow the mix. A later scan packs files by size and so loses that order, and the rows of
@@ -32,10 +31,11 @@ SHINGLE_WORDS, MAX_BITS = 3, 3
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     filters = language.fitted(docs)
+    if not filters.names:  # no row names its language, so all would be undetermined
+        return docs.filter(F.regexp_like(F.col("text"), F.lit(r"\p{L}")))
     rows = docs.select(F.struct("*").alias("row"), F.col("text"))
     judged = language.identified(rows, filters)
-    known = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") > 0)
-    return judged.filter(known).select("row.*")
+    return judged.filter(F.col("lang_pred") != language.UNDETERMINED).select("row.*")
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -76,3 +76,12 @@ def test_rows_and_files_of_the_run_follow_the_mix(spark):
         files.setdefault(row.file, []).append((row.slot, row.place))
     in_files = [at for name in sorted(files) for at in files[name]]
     assert in_files == sorted(in_files)
+
+
+def test_language_stage_keeps_all_texts_with_letters(spark):
+    rows = [(i, "the cat sat on the mat", "en") for i in range(5)]
+    rows += [(10, "\u6c34\u706b", "zh"), (11, "12 !", "zh"), (12, None, "en"), (13, "", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    for part in (docs, docs.withColumn("lang", F.lit(None).cast("string"))):
+        kept = corpus_pipeline.known_language(spark, part, "")
+        assert sorted(r.doc_id for r in kept.collect()) == [0, 1, 2, 3, 4, 10]
