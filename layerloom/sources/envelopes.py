@@ -65,13 +65,14 @@ def opened(
         F.when(unreadable, F.col("_body")).alias("rejected_body"),
         F.when(unreadable | nothing, F.array(F.lit(None))).otherwise(_elements()).alias("_elements"),
     )
-    # Exploded last, so that an element carries the verdict and not the whole body. Spark
-    # filters a bare exploded column beforehand, which would parse each body again.
+    # Exploded last, so that an element carries the verdict and not the whole body. The array
+    # is never empty, so outer changes no row; without it Spark would filter the array before
+    # the explode, and parse each body again for every condition of that filter.
     return judged.select(
         *_parameters(landed, body),
         "outcome",
         "rejected_body",
-        F.explode("_elements").alias("element"),
+        F.explode_outer("_elements").alias("element"),
     )
 
 
