@@ -14,6 +14,7 @@ from layerloom.llm import (
     html_text,
     language,
     mixing,
+    quality,
     simhash,
     token_counts,
     topk,
@@ -185,3 +186,11 @@ def op9_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+    found = quality.quality(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
