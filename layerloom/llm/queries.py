@@ -13,6 +13,7 @@ from layerloom.llm import (
     exact_dedup,
     html_text,
     language,
+    manifest,
     mixing,
     quality,
     simhash,
@@ -194,3 +195,81 @@ def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
     found = quality.quality(docs, table(spark, sf_dir, "labels"), ~held_out)
     return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+#: Unsigned crc32 of a decimal number, bit by bit, for DuckDB.
+CRC32_MACRO_BODY = """xor(list_reduce(list_prepend(4294967295, list_transform(string_split(n, ''),
+        lambda d: cast(ascii(d) as bigint))), lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+        lambda x, i: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end)), 4294967295)"""
+
+MANIFEST_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def _field_sql(value: str) -> str:
+    return f"coalesce(strlen({value}) || ':' || {value}, '-')"
+
+
+def _leaf_sql(text: str) -> str:
+    fields = ["cast(doc_id as varchar)", "source", "lang", "cast(n_chars as varchar)", text]
+    return f"sha256({' || '.join(map(_field_sql, fields))})"
+
+
+@query(
+    f"""with recursive docs as (
+           select *, coalesce(':' || source, '-') as tree, {_leaf_sql("text")} as leaf,
+                  cast(doc_id as varchar) as n from documents),
+       leaves as (
+           select *, row_number() over (partition by tree order by doc_id, leaf) - 1 as i,
+                  count(*) over (partition by tree) as size,
+                  case when coalesce({CRC32_MACRO_BODY} % 2 = 0, false)
+                       then {_leaf_sql("replace(text, chr(10), '')")} else leaf end as presented
+           from docs),
+       nodes as (
+           select tree, 0 as level, i, size, leaf as digest from leaves
+           union all
+           select tree, level + 1, i // 3, (size + 2) // 3, sha256(string_agg(digest, '' order by i))
+           from nodes where size > 1 group by tree, level, i // 3, size),
+       subroots as (
+           select tree, digest, row_number() over (order by tree) - 1 as i, count(*) over () as size
+           from nodes where size = 1),
+       tops as (
+           select 0 as level, i, size, digest from subroots
+           union all
+           select level + 1, i // 3, (size + 2) // 3, sha256(string_agg(digest, '' order by i))
+           from tops where size > 1 group by level, i // 3, size),
+       runs as (
+           select tree, level, i // 3 as p, list(digest order by i) as run
+           from nodes where size > 1 group by all),
+       top_runs as (
+           select level, i // 3 as p, list(digest order by i) as run
+           from tops where size > 1 group by all),
+       folds as (
+           select tree, i as leaf_no, 0 as level, i, size, presented as digest, '' as proof from leaves
+           union all
+           select f.tree, leaf_no, f.level + 1, f.i // 3, (size + 2) // 3,
+                  sha256(array_to_string(run[1:f.i % 3], '') || digest || array_to_string(run[f.i % 3 + 2:3], '')),
+                  proof || array_to_string(run[1:f.i % 3], '') || array_to_string(run[f.i % 3 + 2:3], '')
+           from folds f join runs r on r.tree = f.tree and r.level = f.level and r.p = f.i // 3),
+       top_folds as (
+           select f.tree, leaf_no, 0 as level, s.i, s.size, f.digest, proof
+           from folds f join subroots s using (tree) where f.size = 1
+           union all
+           select tree, leaf_no, f.level + 1, f.i // 3, (size + 2) // 3,
+                  sha256(array_to_string(run[1:f.i % 3], '') || digest || array_to_string(run[f.i % 3 + 2:3], '')),
+                  proof || array_to_string(run[1:f.i % 3], '') || array_to_string(run[f.i % 3 + 2:3], '')
+           from top_folds f join top_runs r on r.level = f.level and r.p = f.i // 3)
+       select doc_id, leaf, s.digest as subroot, t.digest as root, sha256(proof) as proof_sha256,
+              f.digest as folded_root, f.digest = t.digest as verified
+       from leaves l join top_folds f on f.tree = l.tree and f.leaf_no = l.i
+                     join subroots s on s.tree = l.tree join tops t on t.size = 1
+       where f.size = 1"""
+)
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    number = F.col("doc_id").cast("string").cast("binary")
+    touched = F.coalesce(F.crc32(number) % 2 == 0, F.lit(False))
+    others = [F.col(name) for name in MANIFEST_FIELDS if name != "text"]
+    changed = manifest.digest_of([*others, F.translate("text", "\n", "")])
+    untouched = manifest.digest_of([F.col(name) for name in MANIFEST_FIELDS])
+    presented = F.when(touched, changed).otherwise(untouched)
+    return manifest.proven(manifest.built(docs, MANIFEST_FIELDS, presented=presented), "presented")
