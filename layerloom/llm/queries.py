@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from layerloom.llm import (
     bpe,
+    conversations,
     exact_dedup,
     html_text,
     language,
@@ -197,6 +198,25 @@ def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Rows dropped, emptied, cut of their sentence ends, doubled, or given to the user."""
+    spaced = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(" "))
+    case = F.crc32(F.concat(spaced("conv_id"), F.lit(":"), spaced("turn")).cast("binary")) % 20
+    text = F.when(case == 1, "").when(case == 2, F.translate(spaced("text"), ".!?", "")).otherwise(spaced("text"))
+    copies = F.when(case == 0, 0).when(case == 3, 2).otherwise(1)
+    rows = turns.select(
+        "conv_id", "turn", F.when(case == 4, "user").otherwise(spaced("role")).alias("role"), text.alias("text"),
+        F.explode(F.array_repeat(F.lit(0), copies)).alias("copy"),
+    )
+    return rows.drop("copy")
+
+
+@query()
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return conversations.with_empty(turns, conversations.repaired(damaged(turns)))
+
+
 #: Unsigned crc32 of a decimal number, bit by bit, for DuckDB.
 CRC32_MACRO_BODY = """xor(list_reduce(list_prepend(4294967295, list_transform(string_split(n, ''),
         lambda d: cast(ascii(d) as bigint))), lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
