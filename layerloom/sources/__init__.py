@@ -13,13 +13,14 @@ from layerloom.sources.files import (
 )
 from layerloom.sources.inventory import directory_entries, file_inventory
 from layerloom.sources.literals import id_range, literal_rows
-from layerloom.sources.records import records_from_json
+from layerloom.sources.records import found_schema, records_from_json, schema_paths
 from layerloom.sources.tables import read_layer
 
 __all__ = [
     "accepted",
     "directory_entries",
     "file_inventory",
+    "found_schema",
     "id_range",
     "literal_rows",
     "opened",
@@ -34,4 +35,5 @@ __all__ = [
     "read_whole_text",
     "records_from_json",
     "rejected",
+    "schema_paths",
 ]

@@ -82,6 +82,65 @@ def records_from_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("conv_id", "turn.number", "turn.role", "text")
 
 
+def mixed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bodies of three subjects, whose ``props`` are an object here and a string there."""
+    turn = F.struct(F.col("turn").alias("number"), "role").alias("turn")
+    turns = table(spark, sf_dir, "conversations").select(
+        F.to_json(F.struct("conv_id", turn, F.split("text", " ").alias("words"))).alias("body")
+    )
+    props = F.from_json("props", "k bigint").alias("props")
+    events = table(spark, sf_dir, "events").select(
+        F.to_json(F.struct("event_id", F.struct(props, "user_id").alias("event"))).alias("body")
+    )
+    prices = F.array(F.struct(F.col("o_totalprice").alias("price"), F.lit(True).alias("open")))
+    orders = table(spark, sf_dir, "orders").select(
+        F.to_json(
+            F.struct(
+                F.struct(F.col("o_orderstatus").alias("props")).alias("event"), prices.alias("prices")
+            )
+        ).alias("body")
+    )
+    return union_all([turns, events, orders])
+
+
+@query(
+    """with bodies as (
+           select to_json({'conv_id': conv_id, 'turn': {'number': turn, 'role': role},
+                           'words': string_split(text, ' ')}) as body from conversations
+           union all
+           select to_json({'event_id': event_id, 'event': {
+                               'props': cast(props as json), 'user_id': user_id}}) from events
+           union all
+           select to_json({'event': {'props': o_orderstatus},
+                           'prices': [{'price': o_totalprice, 'open': true}]}) from orders),
+       found as (select json_group_structure(body) as structure from bodies)
+       select replace(replace(fullkey, '$.', ''), '[0]', '[]') as path,
+              case atom ->> '$' when 'VARCHAR' then 'text' when 'BOOLEAN' then 'truth'
+                   when 'DOUBLE' then 'number' when 'JSON' then 'mixed' else 'whole number' end as kind
+       from found, json_tree(structure) where atom is not null"""
+)
+def records_schema_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The schema of all bodies, as a row per leaf."""
+    schema = sources.found_schema(mixed_records(spark, sf_dir), "body")
+    leaves = sources.literal_rows(spark, sources.schema_paths(schema), "path string, type string")
+    kind = (
+        F.when(F.col("type") == "string", "text")
+        .when(F.col("type") == "boolean", "truth")
+        .when(F.col("type") == "variant", "mixed")
+        .when(F.regexp_like("type", F.lit("^(decimal|double)")), "number")
+        .otherwise("whole number")
+    )
+    return leaves.select("path", kind.alias("kind"))
+
+
+@query("select conv_id, turn as number, role, string_split(text, ' ') as words from conversations")
+def records_of_found_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records read by the schema that was found, with the conflicting fields beside them."""
+    records = sources.records_from_json(mixed_records(spark, sf_dir), "body")
+    turns = records.filter(F.col("conv_id").isNotNull())
+    return turns.select("conv_id", "turn.number", "turn.role", "words")
+
+
 @query(
     """select line, count(*) as line_count
        from (select unnest(string_split(text, chr(10))) as line from documents)
