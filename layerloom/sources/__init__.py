@@ -14,6 +14,7 @@ from layerloom.sources.files import (
 from layerloom.sources.inventory import directory_entries, file_inventory
 from layerloom.sources.literals import id_range, literal_rows
 from layerloom.sources.records import found_schema, records_from_json, schema_paths
+from layerloom.sources.split import read_csv_split, read_json_array_split
 from layerloom.sources.tables import read_layer
 
 __all__ = [
@@ -26,7 +27,9 @@ __all__ = [
     "opened",
     "read_by_key",
     "read_csv",
+    "read_csv_split",
     "read_json_array",
+    "read_json_array_split",
     "read_json_document",
     "read_json_lines",
     "read_landed",

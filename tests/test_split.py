@@ -1,0 +1,111 @@
+from __future__ import annotations
+
+import csv
+import io
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from layerloom import sources
+from layerloom.sources import split
+
+SCHEMA = "n bigint, s string, o struct<a: array<bigint>, t: string>"
+
+
+@pytest.fixture(params=[200, 1 << 27])
+def split_bytes(spark, request):
+    """Files are cut into splits of this size."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.files.minPartitionNum")
+    before = [spark.conf.get(name, None) for name in names]
+    for name, value in zip(names, (request.param, 0, 1), strict=True):
+        spark.conf.set(name, value)
+    yield request.param
+    for name, value in zip(names, before, strict=True):
+        spark.conf.set(name, value) if value is not None else spark.conf.unset(name)
+
+
+def record(rng, n):
+    texts = ["", "a,b", "[{,", '"', "\\", '\\"', "}],", "é,ü", "line\nbreak", ",,,,", "x" * rng.choice([1, 250]), "日本,", "\\\\,"]
+    text = "".join(rng.choice(texts) for _ in range(rng.randrange(4)))
+    return {"n": n, "s": text, "o": {"a": list(range(rng.randrange(5))), "t": rng.choice(texts)}}
+
+
+def rows(df):
+    return sorted((r.n, r.s, r.o and (list(r.o.a), r.o.t)) for r in df.collect())
+
+
+@pytest.mark.parametrize(("indent", "joined"), [(None, False), (2, True)])
+def test_arrays_over_splits(spark, tmp_path, split_bytes, indent, joined, monkeypatch):
+    if not joined:
+        monkeypatch.setattr(split, "BROADCAST_SPLITS", 0)
+    rng = random.Random(split_bytes)
+    want = []
+    for file, size in enumerate([12, 0, 1, 6]):
+        records = [record(rng, 100 * file + i) for i in range(size)]
+        want += records
+        text = json.dumps(records, indent=indent, ensure_ascii=file % 2 == 0)
+        (tmp_path / f"{file}.json").write_text(rng.choice(["", " \n"]) + text + rng.choice(["", "\n\n"]))
+    found = sources.read_json_array_split(spark, str(tmp_path), SCHEMA)
+    assert rows(found) == sorted((r["n"], r["s"], (r["o"]["a"], r["o"]["t"])) for r in want)
+
+
+def test_schema_is_found_from_all_elements(spark, tmp_path, split_bytes):
+    (tmp_path / "a.json").write_text(json.dumps([{"a": i} for i in range(50)] + [{"b": {"c": "x"}}]))
+    found = sources.read_json_array_split(spark, str(tmp_path))
+    assert found.schema.simpleString() == "struct<a:bigint,b:struct<c:string>>"
+    assert found.count() == 51
+
+
+def test_one_file_is_read_by_many_tasks(spark, tmp_path, split_bytes):
+    (tmp_path / "a.json").write_text(json.dumps([{"n": i, "s": "x" * 40} for i in range(60)]))
+    found = sources.read_json_array_split(spark, str(tmp_path), SCHEMA)
+    # Each split starts where Spark cut the file, so the elements say which task read them.
+    tasks = found.select("n", F.spark_partition_id().alias("task")).groupBy("task").count().collect()
+    assert sum(task["count"] for task in tasks) == 60
+    assert len(tasks) > 8 if split_bytes < 1000 else len(tasks) == 1
+    assert max(task["count"] for task in tasks) < 20 or split_bytes > 1000
+
+
+@pytest.mark.parametrize(
+    "text",
+    ['[{"n": 1}, {"n": 2}', '[{"n": "x', '{"n": 1}', '[1] [2]', '[{"n": 1}] x', '[{"n": 1},, {"n": 2}]', '[{"n": 1},]', "oops"],
+)
+def test_what_is_no_array_is_an_error(spark, tmp_path, text):
+    (tmp_path / "a.json").write_text(text)
+    with pytest.raises(Exception, match="no JSON array"):
+        sources.read_json_array_split(spark, str(tmp_path), SCHEMA).collect()
+
+
+def test_elements_that_do_not_fit_give_nulls(spark, tmp_path, split_bytes):
+    (tmp_path / "a.json").write_text('[{"n": 1}, 3, "a,b", null, [1, 2], {"n": "x"}]')
+    found = sources.read_json_array_split(spark, str(tmp_path), SCHEMA).collect()
+    assert sorted(r.n or 0 for r in found) == [0, 0, 0, 0, 0, 1]
+
+
+@pytest.mark.parametrize("header", [True, False])
+def test_csv_with_line_breaks(spark, tmp_path, split_bytes, header):
+    rng = random.Random(split_bytes)
+    texts = ["plain", "a,b", "two\nlines", 'quo"te', "x" * 250, "\n\n", "é\n,\n", " spaced "]
+    want = []
+    for file in range(3):
+        own = [(1000 * file + i, rng.choice(texts) + rng.choice(texts)) for i in range(8)]
+        out = io.StringIO()
+        writer = csv.writer(out, lineterminator=rng.choice(["\n", "\r\n"]), quoting=csv.QUOTE_NONNUMERIC)
+        writer.writerows([("n", "s"), *own] if header else own)
+        (tmp_path / f"{file}.csv").write_bytes(out.getvalue().encode())
+        want += own
+    found = sources.read_csv_split(spark, str(tmp_path), "n bigint, s string", header=header, escape='"')
+    assert sorted((r.n, r.s) for r in found.collect()) == sorted(want)
+
+
+def test_cut_csv_is_an_error(spark, tmp_path, split_bytes):
+    (tmp_path / "a.csv").write_text('1,"open\n2,b\n')
+    with pytest.raises(ValueError, match="cut"):
+        sources.read_csv_split(spark, str(tmp_path), "n bigint, s string", header=False)
+
+
+def test_empty_folder_and_file(spark, tmp_path, split_bytes):
+    (tmp_path / "a.json").write_text("")
+    assert sources.read_json_array_split(spark, str(tmp_path), SCHEMA).count() == 0

@@ -48,6 +48,23 @@ def scan_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_json_array(spark, path, customers.schema)
 
 
+@query("select * from lineitem")
+def scan_json_array_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One array file, as another system would land it, read by as many tasks as it has splits."""
+    lines = table(spark, sf_dir, "lineitem")
+    path = new_run_dir(spark, "scan_json_array_split")
+    sinks.write_json_array(lines.coalesce(1), path)
+    return sources.read_json_array_split(spark, path, lines.schema)
+
+
+@query("select doc_id, text, lang from documents")
+def scan_csv_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts, line breaks and all, in CSV files that are read in splits."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    path = sinks.write_csv(documents, new_run_dir(spark, "scan_csv_split"))
+    return sources.read_csv_split(spark, path, documents.schema)
+
+
 @query(
     """select o_orderpriority as priority, count(*) as order_count
        from (select o_orderpriority from orders
@@ -133,12 +150,12 @@ def records_schema_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaves.select("path", kind.alias("kind"))
 
 
-@query("select conv_id, turn as number, role, string_split(text, ' ') as words from conversations")
+@query("select conv_id, turn as number, role, text from conversations")
 def records_of_found_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records read by the schema that was found, with the conflicting fields beside them."""
     records = sources.records_from_json(mixed_records(spark, sf_dir), "body")
     turns = records.filter(F.col("conv_id").isNotNull())
-    return turns.select("conv_id", "turn.number", "turn.role", "words")
+    return turns.select("conv_id", "turn.number", "turn.role", F.array_join("words", " ").alias("text"))
 
 
 @query(
