@@ -118,7 +118,8 @@ def run(raw: DataFrame, config: LayerConfig, flow: LayerFlow) -> DataFrame:
     """Build all three layers and return the stored gold table.
 
     Each layer is computed once and the next one reads it back, so a lost executor costs
-    at most one layer, and what is reported is what was stored.
+    at most one layer, and what is reported is what was stored. Each table is replaced in one
+    step, so a run that fails leaves the old rows of the layers that it did not finish.
     """
     spark = raw.sparkSession
     stages = (
@@ -129,6 +130,6 @@ def run(raw: DataFrame, config: LayerConfig, flow: LayerFlow) -> DataFrame:
     rows = raw
     for layer, table, build in stages:
         built = build(rows)
-        write_layer(built, config, layer, table)
+        write_layer(built, config, layer, table, mode="replace")
         rows = read_layer(spark, config, layer, table, built.schema)
     return rows

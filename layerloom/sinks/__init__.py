@@ -7,6 +7,7 @@ from layerloom.sinks.files import (
     write_json_arrays_by_key,
     write_json_documents,
     write_json_lines,
+    write_json_one_array,
     write_text,
     write_text_files,
 )
@@ -20,6 +21,7 @@ __all__ = [
     "write_json_arrays_by_key",
     "write_json_documents",
     "write_json_lines",
+    "write_json_one_array",
     "write_layer",
     "write_text",
     "write_text_files",

@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from layerloom.functions.json import LOSSLESS_TIME, json_text
 from layerloom.sinks.tables import clustered, with_key
+from layerloom.workspace import new_run_dir, release
 
 KEEP_WHITE_SPACE = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
@@ -89,6 +90,43 @@ def write_json_array(
     return path
 
 
+def write_json_one_array(df: DataFrame, path: str, mode: str = "overwrite") -> str:
+    """One JSON array over all part files: joined in order of their names they are the array.
+
+    The order of the elements is not fixed. What a file begins with must be known before it is
+    written, so the elements are stored first, each once, in the shared working folder. Then
+    one of them goes into the first file, behind the opening bracket; all others, each behind
+    its comma, go into files that their tasks write side by side, in any number and order; and
+    the closing bracket goes into the last. Nothing is shuffled or gathered. The last file is
+    also the mark of a whole export: without it the array does not parse.
+
+    Each line is one element, so tasks can read the array line by line again
+    (``read_json_one_array``).
+    """
+    if mode not in ("overwrite", "error", "errorifexists"):
+        raise ValueError(f"mode {mode!r}: an array that is written can not be added to")
+    spark, staged = df.sparkSession, new_run_dir(df.sparkSession, "one_array")
+    df.select(json_text(F.struct("*")).alias("value")).write.parquet(staged)
+    try:
+        stored = spark.read.schema("value string").parquet(staged)
+        place = F.struct(F.col("_metadata.file_name"), F.col("_metadata.row_index"))
+        first = stored.agg(F.min(place).alias("first")).first()["first"]
+        if first is None:
+            head, rest = spark.range(1).select(F.lit("[").alias("value")), None
+        else:
+            is_first = place == F.struct(F.lit(first[0]), F.lit(first[1]).cast("bigint"))
+            head = stored.filter(is_first).select(F.concat(F.lit("["), "value").alias("value"))
+            rest = stored.filter(~is_first).select(F.concat(F.lit(","), "value").alias("value"))
+        tail = spark.range(1).select(F.lit("]").alias("value"))
+        for number, lines in enumerate((head, rest, tail)):
+            if lines is not None:
+                writer = lines.write.mode("append" if number else mode)
+                writer.option("mapreduce.output.basename", f"part-{number}").text(path)
+    finally:
+        release(spark, staged)
+    return path
+
+
 def write_json_arrays_by_key(
     df: DataFrame,
     path: str,

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from layerloom import storage
+from layerloom import storage, versions
 from layerloom.config import LayerConfig
 from layerloom.functions.json import LOSSLESS_TIME
 
@@ -25,7 +25,14 @@ def write_layer(
     cluster: bool = True,
     format: str | None = None,
 ) -> str:
-    """Store a layered table and return its path. ``mode`` is any Spark save mode.
+    """Store a layered table and return its path. ``mode`` is any Spark save mode, or one of two more.
+
+    Spark's ``overwrite`` deletes the old rows before it writes the new ones. ``replace`` swaps
+    them in one step, after all new rows are written: until then readers see the old ones, also
+    if the write fails (see :mod:`layerloom.versions`). A table that was replaced once stays of
+    that kind: it is read by ``read_layer``, and ``overwrite`` replaces it as well.
+    ``replace_partitions`` replaces only the partitions that ``df`` has rows of and leaves the
+    files of all others alone, so that a day can be run again. Delta does both by itself.
 
     With ``partition_by``, rows are first clustered by those columns (see
     :func:`clustered`); ``cluster=False`` saves that shuffle when there are few partitions.
@@ -34,16 +41,42 @@ def write_layer(
     table. A table that holds a stream log of Spark's own file sink is refused, as readers
     would not see what is added beside the log.
     """
-    path = config.layer_path(layer, table)
-    refuse_stream_log(df.sparkSession, path)
+    spark, path = df.sparkSession, config.layer_path(layer, table)
+    stored_as = format or config.format
+    refuse_stream_log(spark, path)
+    place, options = path, {}
+    if mode == "replace_partitions":
+        if not partition_by:
+            raise ValueError("replace_partitions needs the partition columns")
+        if versions.is_versioned(spark, path):
+            raise ValueError(f"{path} is replaced as a whole, which would undo a change of some partitions")
+        mode, options = "overwrite", {"partitionOverwriteMode": "dynamic"}
+    elif stored_as != "delta":
+        now = versions.current(spark, path)
+        if mode == "replace" or (mode == "overwrite" and now):
+            mode, place = "errorifexists", versions.new_version(path)
+        elif now and mode == "append":
+            place = now
+        elif now:
+            place = path  # which exists, so that Spark raises or does nothing, as the mode says
+    elif mode == "replace":
+        mode = "overwrite"
     if partition_by:
         df = df.withColumns({name: _directory_value(df, name, F.col(name)) for name in partition_by})
         if cluster:
             df = clustered(df, *partition_by)
-    writer = df.write.mode(mode).format(format or config.format)
+    writer = df.write.mode(mode).format(stored_as).options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(path)
+    replaces = place != path and mode == "errorifexists"
+    try:
+        writer.save(place)
+    except BaseException:
+        if replaces:  # nobody knows of these files
+            storage.remove(spark, place)
+        raise
+    if replaces:
+        versions.commit(spark, path, place)
     return path
 
 

@@ -7,6 +7,7 @@ from layerloom.sources.files import (
     read_json_array,
     read_json_document,
     read_json_lines,
+    read_json_one_array,
     read_landed,
     read_text_lines,
     read_whole_text,
@@ -32,6 +33,7 @@ __all__ = [
     "read_json_array_split",
     "read_json_document",
     "read_json_lines",
+    "read_json_one_array",
     "read_landed",
     "read_layer",
     "read_text_lines",

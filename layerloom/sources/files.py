@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 Paths = str | list[str]
@@ -41,6 +42,15 @@ def read_json_array(
     return _json(spark, path, schema, {"multiLine": "true", **options})
 
 
+def read_json_one_array(
+    spark: SparkSession, path: Paths, schema: Schema, **options: str
+) -> DataFrame:
+    """The elements of an array that ``write_json_one_array`` wrote, read line by line."""
+    element = F.regexp_replace("value", r"^[\[,]", "").alias("element")
+    lines = spark.read.text(path).select(element).filter(~F.col("element").isin("", "]"))
+    return lines.select(F.from_json("element", schema, options).alias("row")).select("row.*")
+
+
 def read_json_document(
     spark: SparkSession, path: Paths, schema: Schema | None = None, **options: str
 ) -> DataFrame:

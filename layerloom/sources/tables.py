@@ -3,7 +3,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from layerloom import storage
+from layerloom import storage, versions
 from layerloom.config import LayerConfig
 
 
@@ -21,12 +21,14 @@ def read_layer(
     in partition directories needs the schema: Spark would guess the type of a directory's
     value, and read ``01`` as a number. ``format`` is for a table stored in another format
     than the configured one; a Delta table read as another format is an error, since its
-    folder holds files that the table no longer has.
+    folder holds files that the table no longer has. Of a table that was replaced, the version
+    is read that is current now; it stays readable until it is replaced twice more.
     """
     stored_as = format or config.format
     path = config.layer_path(layer, table)
     reader = spark.read.format(stored_as)
     if stored_as != "delta":
+        path = versions.readable(spark, path)
         names = {entry.name for entry in storage.children(spark, path, measure=False) if entry.is_dir}
         if "_delta_log" in names:
             raise ValueError(f"{path} is a Delta table, not {stored_as}")

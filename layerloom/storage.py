@@ -35,6 +35,12 @@ def children(spark: SparkSession, path: str, measure: bool = True) -> Iterator[E
         yield Entry(place.getName(), place.toString(), size, is_dir)
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """Make an empty file, in one step, with the directories above it."""
+    files, target = _located(spark, path)
+    files.create(target, True).close()
+
+
 def remove(spark: SparkSession, path: str) -> bool:
     """Delete a file or a whole directory; whether there was one."""
     files, target = _located(spark, path)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from layerloom import storage
+from layerloom import storage, versions
 from layerloom.config import LayerConfig
 from layerloom.sinks.tables import refuse_stream_log
 
@@ -28,7 +28,7 @@ def new_files(
 ) -> DataFrame:
     """A layered table as a stream: each run takes the files added since the last one.
 
-    The table must only grow by appended files. ``max_files_per_batch`` bounds a batch; a
+    The table must only grow by appended files; one that is replaced as a whole is refused. ``max_files_per_batch`` bounds a batch; a
     run then works through all new files in several batches, one after another.
 
     ``max_file_age`` drops nothing by default, so files that arrive with old modification
@@ -37,12 +37,14 @@ def new_files(
     late, a shorter age, counted back from the newest file, bounds that state; so do one
     job per dated landing folder, and moving read files away (``cleanSource``).
     """
+    path = config.layer_path(layer, table)
+    _refuse_versions(spark, path)
     reader = spark.readStream.format(config.format)
     if config.format != "delta":
         reader = reader.schema(schema).option("maxFileAge", max_file_age)
     if max_files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
-    return reader.load(config.layer_path(layer, table))
+    return reader.load(path)
 
 
 def append_new(
@@ -72,6 +74,7 @@ def append_new(
         writer.format("delta").outputMode("append").start(path).awaitTermination()
         return path
     refuse_stream_log(stream.sparkSession, path)
+    _refuse_versions(stream.sparkSession, path)
 
     def append(batch: DataFrame, number: int) -> None:
         name = f"part-{_checkpoint_id(batch.sparkSession, checkpoint)}-{number:09d}"
@@ -87,3 +90,8 @@ def append_new(
 def _checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
     """The id Spark gave the checkpoint: a new checkpoint never touches an old one's files."""
     return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
+def _refuse_versions(spark: SparkSession, path: str) -> None:
+    if versions.is_versioned(spark, path):
+        raise ValueError(f"{path} is replaced as a whole, and no stream can follow or extend that")

@@ -56,6 +56,39 @@ def write_layer_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_layer(spark, config, "gold", "orders", orders.schema)
 
 
+@query("select * from orders where o_orderstatus = 'O'")
+def write_layer_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Swapped in one step: all rows of the second write, none of the first."""
+    orders = table(spark, sf_dir, "orders")
+    config = fresh_config(spark, "write_layer_replace")
+    for status in ("F", "O"):
+        rows = where_equal(orders, "o_orderstatus", status)
+        sinks.write_layer(rows, config, "gold", "orders", mode="replace")
+    return sources.read_layer(spark, config, "gold", "orders", orders.schema)
+
+
+@query(
+    """select event_id, user_id, event_type, case when event_type = 'error' then 2 else 1 end as run
+       from events"""
+)
+def write_layer_partition_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One type of events is run again, twice; the rows of all others stay from the first run."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    config = fresh_config(spark, "write_layer_partition_replace")
+    schema = events.withColumn("run", F.lit(1)).schema
+    for number, rows in enumerate((events, *[where_equal(events, "event_type", "error")] * 2), start=1):
+        sinks.write_layer(
+            rows.withColumn("run", F.least(F.lit(number), F.lit(2))),
+            config,
+            "bronze",
+            "events",
+            mode="replace_partitions",
+            partition_by=["event_type"],
+        )
+    stored = sources.read_layer(spark, config, "bronze", "events", schema)
+    return stored.select("event_id", "user_id", "event_type", "run")
+
+
 @query("select * from events")
 def write_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
@@ -70,6 +103,13 @@ def write_json_array_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_json_array(spark, path, events.schema)
 
 
+@query("select * from orders")
+def write_json_one_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders")
+    path = sinks.write_json_one_array(orders, new_run_dir(spark, "write_json_one_array"))
+    return sources.read_json_one_array(spark, path, orders.schema)
+
+
 @query("select * from orders")
 def write_json_lines_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
