@@ -6,6 +6,7 @@ from layerloom.plans.layers import (
     LayerFlow,
     MetricRules,
     bronze,
+    dated,
     gold,
     run,
     silver,
@@ -23,6 +24,7 @@ __all__ = [
     "LayerFlow",
     "MetricRules",
     "bronze",
+    "dated",
     "export_by_key",
     "gold",
     "run",

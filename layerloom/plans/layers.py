@@ -110,7 +110,10 @@ def silver(rows: DataFrame, rules: CleanRules) -> DataFrame:
 
 def gold(rows: DataFrame, rules: MetricRules) -> DataFrame:
     """Count and latest date per key, with the day of the report."""
-    metrics = key_metrics(rows, rules.key, rules.latest_of, rules.count_name, rules.latest_name)
+    return dated(key_metrics(rows, rules.key, rules.latest_of, rules.count_name, rules.latest_name))
+
+
+def dated(metrics: DataFrame) -> DataFrame:
     return metrics.withColumn("report_date", F.current_date())
 
 

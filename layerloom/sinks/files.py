@@ -149,22 +149,43 @@ def write_json_arrays_by_key(
     schema = StructType([ordered.schema[name], *StructType.fromDDL("_line bigint, value string")])
 
     def bracketed(batches):
-        """Each element with the bracket or comma before it, and a last bracket per key."""
+        """Each element with the bracket or comma before it, and a last bracket per key.
+
+        Where the key changes, the element gets the opening bracket, and one line more closes
+        the array before it. Elements have even numbers and closing lines odd ones, by which
+        the lines are sorted.
+        """
+        import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         fields = to_arrow_schema(schema)
-        last, line = None, 0  # the key of the open array, as a tuple to tell null from none
+
+        def lines(keys, numbers, values):
+            return pa.RecordBatch.from_arrays([keys, pa.array(numbers), values.cast(fields[2].type)], schema=fields)
+
+        def same(one, other):
+            """Equal keys, where null equals null."""
+            both = pc.and_(pc.is_null(one), pc.is_null(other))
+            return pc.or_(pc.fill_null(pc.equal(one, other), False), both).to_numpy(zero_copy_only=False)
+
+        last, line = None, 0  # the key of the open array as an array of one, and the next number
         for batch in batches:
-            found = []
-            for own, value in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-                if last is not None and last != (own,):
-                    found.append({name: last[0], "_line": line, "value": "]"})
-                    line += 1
-                found.append({name: own, "_line": line, "value": ("," if last == (own,) else "[") + value})
-                last, line = (own,), line + 1
-            yield pa.RecordBatch.from_pylist(found, fields)
+            if not batch.num_rows:
+                continue
+            keys, values = batch.column(0).cast(fields[0].type), batch.column(1)
+            goes_on = np.concatenate([[last is not None and bool(same(last, keys[:1])[0])], same(keys[:-1], keys[1:])])
+            numbers = 2 * (line + np.arange(len(keys)))
+            marks = pc.if_else(pa.array(goes_on), ",", "[").cast(values.type)
+            yield lines(keys, numbers, pc.binary_join_element_wise(marks, values, pa.scalar("", values.type)))
+            ended = np.flatnonzero(~goes_on)
+            before = pa.concat_arrays([keys[:1] if last is None else last, keys]).take(pa.array(ended))
+            if last is None:  # there is no array before the first
+                ended, before = ended[1:], before[1:]
+            yield lines(before, numbers[ended] - 1, pa.array(["]"] * len(ended), pa.string()))
+            last, line = keys[-1:], line + len(keys)
         if last is not None:
-            yield pa.RecordBatch.from_pylist([{name: last[0], "_line": line, "value": "]"}], fields)
+            yield lines(last, np.array([2 * line - 1]), pa.array(["]"], pa.string()))
 
     # Sorted by key, as the writer asks for, and by line, so that it keeps this very order.
     lines = ordered.mapInArrow(bracketed, schema).sortWithinPartitions(name, "_line")

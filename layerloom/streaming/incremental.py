@@ -34,11 +34,11 @@ def new_files(
     ``max_file_age`` drops nothing by default, so files that arrive with old modification
     times (backfills, copies that keep them) are read. In return the job remembers each
     file it has seen, an entry on the driver and in the checkpoint. Where files never come
-    late, a shorter age, counted back from the newest file, bounds that state; so do one
-    job per dated landing folder, and moving read files away (``cleanSource``).
+    late, a shorter age, counted back from the newest file, bounds that state; so does one
+    job per dated landing folder. ``append_unread`` keeps its list in storage instead.
     """
     path = config.layer_path(layer, table)
-    _refuse_versions(spark, path)
+    refuse_versions(spark, path)
     reader = spark.readStream.format(config.format)
     if config.format != "delta":
         reader = reader.schema(schema).option("maxFileAge", max_file_age)
@@ -64,9 +64,7 @@ def append_new(
     stream log beside it. A batch's files carry the checkpoint's id and the batch number
     in their names, and a batch that is run again first removes what it left before.
     """
-    if not _JOB.fullmatch(job):
-        raise ValueError(f"job {job!r} may hold letters, digits, '.', '_' and '-' only")
-    path, checkpoint = config.layer_path(layer, table), config.checkpoint_path(job)
+    path, checkpoint = config.layer_path(layer, table), config.checkpoint_path(checked_job(job))
     writer = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if config.format == "delta":
         if partition_by:
@@ -74,24 +72,37 @@ def append_new(
         writer.format("delta").outputMode("append").start(path).awaitTermination()
         return path
     refuse_stream_log(stream.sparkSession, path)
-    _refuse_versions(stream.sparkSession, path)
+    refuse_versions(stream.sparkSession, path)
 
     def append(batch: DataFrame, number: int) -> None:
-        name = f"part-{_checkpoint_id(batch.sparkSession, checkpoint)}-{number:09d}"
-        levels = "*/" * len(partition_by)
-        storage.remove_matching(batch.sparkSession, f"{path}/{levels}{name}-*")
-        files = batch.write.mode("append").format(config.format)
-        files.option("mapreduce.output.basename", name).partitionBy(*partition_by).save(path)
+        name = f"part-{checkpoint_id(batch.sparkSession, checkpoint)}-{number:09d}"
+        append_batch(batch, path, name, config.format, partition_by)
 
     writer.foreachBatch(append).start().awaitTermination()
     return path
 
 
-def _checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
+def append_batch(
+    batch: DataFrame, path: str, name: str, format: str, partition_by: Sequence[str]
+) -> None:
+    """Append files whose names begin with ``name``, in place of any that a run before left."""
+    levels = "*/" * len(partition_by)
+    storage.remove_matching(batch.sparkSession, f"{path}/{levels}{name}-*")
+    files = batch.write.mode("append").format(format)
+    files.option("mapreduce.output.basename", name).partitionBy(*partition_by).save(path)
+
+
+def checked_job(job: str) -> str:
+    if not _JOB.fullmatch(job):
+        raise ValueError(f"job {job!r} may hold letters, digits, '.', '_' and '-' only")
+    return job
+
+
+def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
     """The id Spark gave the checkpoint: a new checkpoint never touches an old one's files."""
     return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
 
-def _refuse_versions(spark: SparkSession, path: str) -> None:
+def refuse_versions(spark: SparkSession, path: str) -> None:
     if versions.is_versioned(spark, path):
         raise ValueError(f"{path} is replaced as a whole, and no stream can follow or extend that")

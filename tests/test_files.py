@@ -306,11 +306,29 @@ def test_export_never_replaces_a_column(spark, tmp_path):
         sinks.write_by_key(df, str(tmp_path / "out"), "league.id", "league")
 
 
-def test_delta_folder_is_not_read_as_parquet(spark, config):
+def test_delta_is_told_by_its_log(spark, config, monkeypatch):
+    """There are no Delta jars here: a stub stands for its reader, and says how it was asked."""
+    asked = []
+
+    class Reader:
+        def format(self, name):
+            asked.append(name)
+            return self
+
+        def schema(self, schema):
+            asked.append("schema")
+            return self
+
+        def load(self, path):
+            return path
+
     path = sinks.write_layer(spark.range(3), config, "bronze", "t")
     (Path(path) / "_delta_log").mkdir()
+    monkeypatch.setattr(type(spark), "read", property(lambda session: Reader()))
+    assert sources.read_layer(spark, config, "bronze", "t", schema="id bigint") == path
+    assert asked == ["delta"]  # and its own schema
     with pytest.raises(ValueError, match="Delta"):
-        sources.read_layer(spark, config, "bronze", "t")
+        sources.read_layer(spark, config, "bronze", "t", format="parquet")
 
 
 def test_landed_parameters_keep_their_text_and_hidden_files_are_none(spark, tmp_path):

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from layerloom import sinks, sources
 from layerloom.operators import where_equal
 from layerloom.plans import bronze, silver
-from layerloom.streaming import append_new, new_files
-from workload.flows import ORDERS, raw_orders
+from layerloom.streaming import append_new, append_unread, keep_metrics, kept_metrics, new_files
+from workload.flows import GOLD_SQL, ORDERS, checked_date, raw_orders
 from workload.registry import fresh_config, query, table
 
 
@@ -73,3 +73,33 @@ def stream_then_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     sinks.write_layer(customers, config, "silver", "users", mode="append")
     return sources.read_layer(spark, config, "silver", "users", events.schema)
+
+
+@query(GOLD_SQL)
+def stream_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold after three runs over what landed between them: the same as of all rows at once."""
+    orders = bronze(raw_orders(spark, sf_dir), ORDERS.source_system)
+    config = fresh_config(spark, "stream_gold")
+    for number in range(3):
+        landed = orders.filter(F.col("o_orderkey") % 3 == number)
+        sinks.write_layer(landed, config, "bronze", ORDERS.raw_table, mode="append")
+        stream = new_files(spark, config, "bronze", ORDERS.raw_table, orders.schema)
+        clean = silver(stream, ORDERS.clean)
+        keep_metrics(clean, config, ORDERS.metric_table, ORDERS.metrics, job="gold", merged_after=2)
+    return checked_date(kept_metrics(spark, config, ORDERS.metric_table, ORDERS.metrics, clean.schema))
+
+
+@query("select o_orderkey, o_orderstatus, 1 + o_orderkey % 3 as run from orders")
+def stream_unread_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files land between runs that list what they read; each row carries the run that took it."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    config = fresh_config(spark, "stream_unread_files")
+    source, target = ("bronze", "orders"), ("silver", "orders")
+    for number in range(3):
+        landed = orders.filter(F.col("o_orderkey") % 3 == number)
+        sinks.write_layer(landed, config, *source, mode="append")
+        run = F.lit(number + 1).cast("bigint").alias("run")
+        append_unread(
+            spark, config, source, orders.schema, lambda rows, run=run: rows.select("*", run), target, job="orders"
+        )
+    return sources.read_layer(spark, config, *target, orders.select("*", run).schema)
