@@ -32,7 +32,7 @@ def read_layer(
         if format and _is_delta(spark, path):
             raise ValueError(f"{path} is a Delta table, not {format}")
         path = versions.readable(spark, path)
-        names = {entry.name for entry in storage.children(spark, path, measure=False) if entry.is_dir}
+        names = {entry.name for entry in storage.children(spark, path) if entry.is_dir}
         if schema is not None:
             reader = reader.schema(schema)
         elif any("=" in name for name in names):

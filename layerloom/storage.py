@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -20,19 +21,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
-def children(spark: SparkSession, path: str, measure: bool = True) -> Iterator[Entry]:
-    """The direct entries of a directory, hidden ones too; none if it is missing.
-
-    A directory's size is that of all files below it, or 0 if they are not to be measured.
-    """
+def children(spark: SparkSession, path: str) -> Iterator[Entry]:
+    """The direct entries of a directory, hidden ones too; none if it is missing."""
     files, target = _located(spark, path)
     if not files.exists(target):
         return
     for status in files.listStatus(target):
-        place, is_dir, size = status.getPath(), status.isDirectory(), status.getLen()
-        if is_dir:
-            size = files.getContentSummary(place).getLength() if measure else 0
-        yield Entry(place.getName(), place.toString(), size, is_dir)
+        place, is_dir = status.getPath(), status.isDirectory()
+        yield Entry(place.getName(), place.toString(), 0 if is_dir else status.getLen(), is_dir)
 
 
 def touch(spark: SparkSession, path: str) -> None:
@@ -41,6 +37,11 @@ def touch(spark: SparkSession, path: str) -> None:
     files.create(target, True).close()
 
 
+def literal(path: str) -> str:
+    """The path for a reader that takes patterns, where it shall stand for itself alone."""
+    return re.sub(r"([*?{}\[\]\\])", r"\\\1", path)
+
+
 def remove(spark: SparkSession, path: str) -> bool:
     """Delete a file or a whole directory; whether there was one."""
     files, target = _located(spark, path)

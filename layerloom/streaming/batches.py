@@ -64,7 +64,7 @@ class Batches:
 
     def _numbers(self, kind: str) -> list[int]:
         """Of the directories of a kind those that were written to their end."""
-        found = [e for e in storage.children(self.spark, self.path, measure=False) if e.name.startswith(kind)]
+        found = [e for e in storage.children(self.spark, self.path) if e.name.startswith(kind)]
         whole = [e for e in found if storage.exists(self.spark, f"{e.path}/{_WHOLE}")]
         return sorted(int(entry.name.removeprefix(kind)) for entry in whole)
 

@@ -59,7 +59,7 @@ def kept_metrics(
     metrics = _metrics(spark.createDataFrame([], schema), rules)
     parts = [
         Batches(spark, entry.path, metrics.schema).rows()
-        for entry in storage.children(spark, path, measure=False)
+        for entry in storage.children(spark, path)
         if entry.is_dir
     ]
     return dated(_merged(reduce(DataFrame.unionByName, parts, metrics), rules))

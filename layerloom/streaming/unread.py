@@ -63,7 +63,7 @@ def append_unread(
         if number >= 0 and not storage.exists(spark, f"{state}/done-{number:09d}"):
             rows = spark.read.schema(schema).format(config.format).option("basePath", read_from)
             listed = spark.read.schema(_FILES).parquet(f"{state}/files/batch-{number:09d}")
-            paths = [row["path"] for row in listed.collect()]  # at most ``batch_files``
+            paths = [storage.literal(row["path"]) for row in listed.collect()]  # at most ``batch_files``
             append_batch(made(rows.load(paths)), path, f"part-{own}-{number:09d}", config.format, partition_by)
             storage.touch(spark, f"{state}/done-{number:09d}")
             storage.remove(spark, f"{state}/done-{number - 1:09d}")
@@ -79,7 +79,7 @@ def append_unread(
 
 def _own_id(spark: SparkSession, state: str) -> str:
     """The id in the names of the files that this list's batches write."""
-    known = [e.name for e in storage.children(spark, state, measure=False) if e.name.startswith(_OWN)]
+    known = [e.name for e in storage.children(spark, state) if e.name.startswith(_OWN)]
     if not known:
         known = [f"{_OWN}{uuid.uuid4()}"]
         storage.touch(spark, f"{state}/{known[0]}")

@@ -35,7 +35,7 @@ def readable(spark: SparkSession, path: str) -> str:
     was is a missing path, as that of any table that is not there.
     """
     now = current(spark, path)
-    if now is None and {entry.name for entry in storage.children(spark, path, measure=False)} == {_VERSIONS}:
+    if now is None and {entry.name for entry in storage.children(spark, path)} == {_VERSIONS}:
         return f"{path}/{_COMMITS}/none"
     return now or path
 
@@ -65,5 +65,5 @@ def _version(committed: str) -> str:
 
 
 def _committed(spark: SparkSession, path: str) -> list[str]:
-    entries = storage.children(spark, f"{path}/{_COMMITS}", measure=False)
+    entries = storage.children(spark, f"{path}/{_COMMITS}")
     return sorted(entry.name for entry in entries if entry.name[:1].isdigit())

@@ -272,6 +272,21 @@ def test_directory_entries_of_odd_paths(spark, tmp_path, form):
     ]
 
 
+def test_directory_sizes_are_rolled_up_from_all_depths(spark, tmp_path):
+    sizes = {}
+    for number in range(40):  # more than Spark lists on the driver
+        folder = tmp_path / f"d {number}%[x]" if number % 2 else tmp_path / f"_d{number}"
+        (folder / "k=1" / "{deep}").mkdir(parents=True)
+        (folder / "a.txt").write_text("x" * number)
+        (folder / "k=1" / "{deep}" / "b.txt").write_text("xy")
+        (folder / "_hidden").write_text("not a data file")
+        sizes[folder.name] = number + 2
+    (tmp_path / "empty").mkdir()
+    (tmp_path / ".file").write_text("123")
+    entries = sources.directory_entries(spark, str(tmp_path)).collect()
+    assert {e.name: e.size for e in entries} == {**sizes, "empty": 0, ".file": 3}
+
+
 KEYS = [(1, None), (2, ""), (3, "01"), (4, "a/b"), (5, "1")]
 
 
