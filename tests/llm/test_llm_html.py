@@ -36,11 +36,39 @@ def test_page_without_marks_keeps_its_dense_lines():
 
 def test_page_without_marks_keeps_sections_split_by_stripped_blocks():
     long = " ".join(["The first section goes on for a good while."] * 40)
-    closing = "A closing section is shorter by far than the first one, and yet belongs to the article."
     source = "An article in full that the text links to as its source."
     ads = "<div class=ad>x</div>" * 3
-    page = f"<h2>Short head.</h2><p>By me.</p>{ads}<p>{long}</p><p><a href=x>{source}</a></p><p>{long}</p>{ads}<p>{closing}</p>{ads}<p>(c) me</p>"
-    assert html_text.main_text(page) == f"{long}\n\n{source}\n\n{long}\n\n{closing}"
+    page = (
+        f"<div>Tuesday</div>{ads}<h2>Short head.</h2>{ads}<p>{long}</p><p><a href=x>{source}</a></p><p>{long}</p>{ads}"
+        f"<p>The end, short.</p>{ads}<p><a href=x>Read all of our other pages.</a></p>{ads}<div>(c) me</div>"
+    )
+    assert html_text.main_text(page) == f"Short head.\n\n{long}\n\n{source}\n\n{long}\n\nThe end, short."
+
+
+def test_the_sums_choose_on_marked_and_unmarked_pages(monkeypatch):
+    """With the sums switched off no page has a text, and with any window a loose line stays."""
+    ads = "<div class=ad>x</div>" * 3
+    pages = ["<article><p>a</p></article>", f"<p>One paragraph.</p>{ads}<div>loose</div>"]
+    assert [html_text.main_text(page) for page in pages] == ["a", "One paragraph."]
+    assert html_text.main_text(pages[1], surge_chars=0) == "One paragraph.\n\nloose"
+    monkeypatch.setattr(html_text, "_passages", lambda counts, *options: [])
+    assert [html_text.main_text(page) for page in pages] == ["", ""]
+
+
+def test_doubtful_names_inside_an_article():
+    work = "What others did before on this question, in so many words that it is a section of the article's own."
+    links = "".join(f"<a href=x>{work}</a>" for _ in range(3))
+    page = (
+        f"<article><p>a</p><div class='related work'><p>{work}</p><p>b</p></div><div class=related>See also</div>"
+        f"<ul class='share'>{links}</ul><p>c</p><div class=advert>{work}</div></article><div class=notice>{work}</div>"
+    )
+    assert html_text.main_text(page) == f"a\n\n{work}\n\nb\n\nc"
+
+
+def test_very_long_and_deep_pages():
+    assert html_text.main_text("<div>" * 30_000 + "x").strip() == "x"
+    words = "word " * 200_000
+    assert html_text.main_text(f"<article><p>{words}</p></article>") == words.strip()
 
 
 def test_passage_begins_with_its_short_lines():
@@ -55,4 +83,6 @@ def test_rows(spark):
     found = html_text.extracted(pages)
     assert found.columns == ["page_id", "url", "row", "text", "n_chars"]
     assert sorted(map(tuple, found.select("page_id", "text", "n_chars").collect())) == [(1, "é🙂", 2), (2, "", 0)]
+    twice = html_text.extracted(pages.unionAll(pages)).select("page_id", "text").collect()
+    assert sorted(map(tuple, twice)) == [(1, "é🙂"), (1, "é🙂"), (2, ""), (2, "")]
     assert html_text.extracted(pages.limit(0)).count() == 0
