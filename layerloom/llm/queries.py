@@ -23,7 +23,7 @@ from layerloom.llm import (
     url_filter,
     wavelet,
 )
-from layerloom.llm.common import table
+from layerloom.llm.common import settled, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,11 +53,11 @@ MASKS = {
 
 @query()
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts before and after masking personal data, updated where texts change."""
+    """Counts before and after masking personal data, updated from the stored trees of all texts."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return token_counts.recounted(
-        docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, masks=MASKS
-    )
+    how = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    grown = settled(token_counts.recounted(docs, *how, keep=True).select("doc_id", "text", "tree"), "trees")
+    return token_counts.recounted(grown, *how, masks=MASKS, tree=F.col("tree"))
 
 
 @query()

@@ -13,10 +13,12 @@ three characters), so splitting starts at the first leaf that ends less than two
 before the edit. Forwards, a split at a border with the same text behind it gives the same
 leaves as before.
 
-The tree of a document is kept as two binary columns, its leaves' characters and tokens as
-32-bit numbers; the sums above are rebuilt when it is read.
+The tree of a document is kept as two binary columns, its leaves' characters and tokens, a
+byte each where they all fit, else 32 bits; the sums above are rebuilt when it is read. A
+document that no edit touches is neither split nor encoded again: its count is the sum of
+what was kept.
 
-Defined cases: a null text is an empty text without leaves. Edits are sorted by start; one
+Defined cases: rows that repeat a document are counted each, and very long texts whole. A null text is an empty text without leaves. Edits are sorted by start; one
 that begins inside an earlier one begins at that one's end instead, and what lies beyond
 the text is cut off. Null edits, and null parts of an edit, change nothing. Equal edits at
 one place apply one after the other. Other columns play no part.
@@ -241,7 +243,7 @@ def _updated(row: dict, masks: list[tuple[str, str]], count: Counter, split: reg
         pieces = split.findall(text)
         chars, tokens = np.fromiter(map(len, pieces), np.int32, len(pieces)), np.array(count(pieces), np.int32)
     else:
-        chars, tokens = (np.frombuffer(row["tree"][name], np.int32) for name in ("chars", "tokens"))
+        chars, tokens = (_unpacked(row["tree"][name]) for name in ("chars", "tokens"))
     edits = _usable(row["edits"])
     edits += [(m.start(), m.end(), new) for old, new in masks for m in _pattern(old).finditer(text)]
     before = total = int(tokens.sum())
@@ -250,10 +252,21 @@ def _updated(row: dict, masks: list[tuple[str, str]], count: Counter, split: reg
         text, chars, tokens, updated, encoded = recount(text, chars, tokens, edits, count, split)
         total = updated.tokens
     counts = dict(zip(COUNTS, (before, len(edits), total, len(chars), encoded), strict=True))
-    kept = {"text": text, "tree": {"chars": chars.tobytes(), "tokens": tokens.tobytes()}} if keep else {}
+    kept = {"text": text, "tree": {"chars": _packed(chars), "tokens": _packed(tokens)}} if keep else {}
     return {"doc_id": row["doc_id"], **counts, **kept}
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """The values behind a byte that says how many bytes each takes."""
+    small = not len(values) or int(values.max()) < 256
+    return (b"\x01" + values.astype(np.uint8).tobytes()) if small else (b"\x04" + values.astype("<i4").tobytes())
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    kind = np.uint8 if packed[:1] == b"\x01" else np.dtype("<i4")
+    return np.frombuffer(packed, kind, offset=1).astype(np.int32)
+
+
 def _usable(edits: list[dict] | None) -> list[Edit]:
     rows = [edit for edit in edits or [] if edit is not None and None not in edit.values()]
     return [(edit["start"], edit["stop"], edit["replacement"]) for edit in rows]

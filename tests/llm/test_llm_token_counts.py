@@ -73,3 +73,32 @@ def test_a_kept_tree_takes_the_next_edits(spark, encoding):
     for row in again.collect():
         assert row.n_tokens == len(encoding.encode_ordinary(row.text))
     assert token_counts.recounted(docs.limit(0), FILE, P.PATTERN).count() == 0
+
+
+def test_untouched_documents_are_not_split_or_encoded_again():
+    class Never:
+        def findall(self, text, position=0):
+            raise AssertionError("split again")
+
+        match = findall
+
+    def never(pieces):
+        raise AssertionError("encoded again")
+
+    tree = {"chars": token_counts._packed(np.array([3, 300])), "tokens": token_counts._packed(np.array([1, 70]))}
+    row = {"doc_id": 1, "text": "abc" + "x" * 300, "edits": None, "tree": tree}
+    found = token_counts._updated(row, [("secret", "")], never, Never(), True)
+    assert (found["n_tokens"], found["n_reencoded"], found["n_pretokens"]) == (71, 0, 2)
+    assert found["tree"] == tree
+    with pytest.raises(AssertionError, match="split again"):
+        token_counts._updated({**row, "text": "secret" + row["text"][6:]}, [("secret", "")], never, Never(), True)
+
+
+def test_very_long_texts_and_repeats(spark, encoding):
+    text = "word " * 100_000 + "y" * 500 + " a@b.de"
+    docs = spark.createDataFrame([(1, text), (1, text), (2, "a")], "doc_id int, text string")
+    grown = token_counts.recounted(docs, FILE, P.PATTERN, keep=True)
+    found = token_counts.recounted(grown, FILE, P.PATTERN, masks=MASKS, tree=grown["tree"]).collect()
+    want = len(encoding.encode_ordinary(text.replace("a@b.de", "<email>")))
+    assert sorted(r.n_tokens for r in found) == [1, want, want]
+    assert all(r.n_reencoded < 20 for r in found)
