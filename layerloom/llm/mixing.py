@@ -8,8 +8,9 @@ slot each source has had its exact share but for less than one block.
 
 Weights are exact fractions of the targets, never rounded to slots, and there may be any
 number of sources. Roots of row counts have no common period, so one task places the blocks
-slot by slot, up to the last block of any source. It keeps three numbers a source, whatever
-the number of rows, and writes a small table with a row per block. The rows get their block
+slot by slot, up to the last block of any source. It keeps three numbers a source, and its
+work is bounded: a corpus has at most ``MOST_BLOCKS`` blocks and one more a source, as blocks
+grow with it beyond that. The schedule is a small table with a row per block. The rows get their block
 by their rank within their source, counted in parallel: a range partitioning splits a hot
 source over tasks, each task counts its rows, and a small table has what comes before each
 task.
@@ -19,7 +20,8 @@ dropped or repeated, so target weights hold up to the slot where a source runs o
 
 Defined cases: rows with a null source are a source of their own. Within a source rows
 are ordered by a hash of their id, then by the id; rows that repeat an id in a source keep
-any order among themselves. An empty table gives an empty result.
+any order among themselves. Texts play no part, however long. An empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -41,6 +43,9 @@ from layerloom.llm.common import settled
 #: Slots that the schedule hands on at a time; it decides no result.
 PERIOD = 1000
 BLOCK_ROWS = 16
+#: What one task schedules. Of more rows than these blocks hold, a block has more rows, so that a
+#: deviation is always less than one block, and never takes one task more than some seconds.
+MOST_BLOCKS = 1 << 21
 #: A source's weight is its number of rows to this power: below one, small sources gain.
 TEMPERATURE = 0.5
 
@@ -93,6 +98,7 @@ def mixed(
     block_rows: int = BLOCK_ROWS,
     period: int = PERIOD,
     temperature: float = TEMPERATURE,
+    most_blocks: int = MOST_BLOCKS,
 ) -> DataFrame:
     """All rows and columns, with ``block``, ``slot``, ``place``: their place in the mix.
 
@@ -107,6 +113,8 @@ def mixed(
         if missing := present - set(targets):
             raise ValueError(f"no target weight for {sorted(map(str, missing))}")
         targets = slots_of({name: targets[name] for name in present})
+    rows = counts.agg(F.sum("rows")).first()[0] or 0
+    block_rows = max(block_rows, math.ceil(rows / most_blocks))
     plan = settled(_plan(counts, targets, temperature, block_rows, period), "plan")
     blocks = _ranked(docs, source, doc_id).select(
         "row",

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections import Counter, defaultdict
 from fractions import Fraction
 
@@ -25,18 +26,34 @@ def test_every_prefix_is_within_one_block(slots):
             assert abs(had[name] - Fraction(share * (slot + 1), period)) < 1
 
 
-def brute(rows, block_rows, period, temperature=0.5):
+def earliest_deadlines(weights, blocks):
+    """The slots of so many blocks of each source, by the definition alone: exact and slot by slot."""
+    total = sum(map(Fraction, weights.values()))
+    shares = {source: Fraction(weight) / total for source, weight in weights.items()}
+    order = sorted(weights, key=lambda source: (source is None, source))
+    had, place, slot = Counter(), {}, 0
+    while any(had[source] < blocks[source] for source in order):
+        released = [s for s in order if math.floor(had[s] / shares[s]) <= slot]
+        first = min(released, key=lambda s: math.ceil((had[s] + 1) / shares[s]))
+        assert slot < math.ceil((had[first] + 1) / shares[first])
+        place[first, had[first]] = slot
+        had[first] += 1
+        slot += 1
+    return place
+
+
+def brute(rows, block_rows, temperature=0.5):
     groups = defaultdict(list)
     for doc_id, source in rows:
         groups[source].append(doc_id)
-    slots = mixing.slots_of({s: len(ids) ** temperature for s, ids in groups.items()}, period)
-    place = {(s, own): at for s, own, at in mixing.schedule(slots)}
+    blocks = {s: -(-len(ids) // block_rows) for s, ids in groups.items()}
+    place = earliest_deadlines({s: len(ids) ** temperature for s, ids in groups.items()}, blocks)
     out = set()
     for source, ids in groups.items():
         ordered = sorted(ids, key=lambda i: (hashlib.md5(str(i).encode()).hexdigest(), i))
         for rank, doc_id in enumerate(ordered):
-            block, share = rank // block_rows, slots[source]
-            out.add((doc_id, source, block, block // share * period + place[source, block % share], rank % block_rows))
+            block = rank // block_rows
+            out.add((doc_id, source, block, place[source, block], rank % block_rows))
     return out
 
 
@@ -44,7 +61,7 @@ def test_query_equals_brute_force(spark):
     sf_dir = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source")
     found = QUERIES["op4_pfair_mix"](spark, sf_dir).collect()
-    want = brute([tuple(r) for r in docs.collect()], mixing.BLOCK_ROWS, mixing.PERIOD)
+    want = brute([tuple(r) for r in docs.collect()], mixing.BLOCK_ROWS)
     assert {tuple(r) for r in found} == want and len(found) == len(want)
 
 
@@ -109,3 +126,11 @@ def test_rows_follow_the_targets_of_many_sources(spark):
         had += source == "hot"
         assert abs(had - (slot + 1) / 2) < 1
     assert mixing.mixed(docs).count() == 2200  # by row counts, beyond a thousand sources
+
+
+def test_blocks_grow_with_the_rows_beyond_a_bound(spark):
+    rows = [(i, "hot" if i % 3 else f"s{i % 5}") for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string").repartition(4)
+    found = mixing.mixed(docs, block_rows=4, most_blocks=50).collect()
+    assert {tuple(r) for r in found} == brute(rows, 20)
+    assert len({(r.source, r.block) for r in found}) <= 50 + 6
