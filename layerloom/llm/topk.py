@@ -7,31 +7,35 @@ a visit ends as soon as no bound reaches the k-th best score found. That k-th sc
 propagated: every query is first searched in one home shard, and all other shards start
 from the score it found there.
 
-A task holds one shard and one block of queries, both of bounded size. Shards meet blocks,
-so rows are repeated once per block of queries and queries once per shard; no pair of
-vectors is ever a row.
+Each tree is built once and stored. A task loads one and lets a block of queries stream past
+it, a few at a time, so it holds a tree of bounded size and no more. A block is large, as it
+is there for more tasks than shards and not for memory: a stored tree is read once per block,
+and a query goes once to every shard. No pair of vectors is ever a row.
 
 Defined cases: components are taken as integers, ``floor(scale * x)``. Vectors that are
 null, or hold a null or a non-finite component, take no part; neither do rows with a null
 id. Only vectors of equal length are compared. A repeated candidate row is a candidate
-each time; a repeated query row is one query. Scores beyond 64 bits are cut to 64 bits.
+each time; a repeated query row is one query. Scores beyond 64 bits are cut to 64 bits. An empty
+table gives an empty result; other columns play no part.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from layerloom.llm.common import settled
 
 SHARD_ROWS = 1 << 14
-BLOCK_QUERIES = 1 << 12
+BLOCK_QUERIES = 1 << 16
 LEAF_ROWS = 256
 
 _LONG = np.iinfo(np.int64)
@@ -159,22 +163,19 @@ def nearest(
         }
     )
     queries = settled(queries, "queries")
-    candidates = dealt.select("vec_id", "vector", "shard")
-    everywhere = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
-    candidates = candidates.select("*", everywhere)
+    trees = settled(_trees(dealt.select("vec_id", "vector", "shard"), leaf_rows), "trees")
 
-    # As text, since a null would make pandas read long numbers as floats.
-    no_floor = F.lit(None).cast("string").alias("least")
+    no_floor = F.lit(None).cast("bigint").alias("least")
     at_home = queries.select("*", F.col("home").alias("shard"), no_floor)
-    first = settled(_searched(candidates, at_home, k, leaf_rows), "home_scores")
+    first = settled(_searched(trees, at_home, blocks, k), "home_scores")
     own = ["query_id", "query_key"]
     kth = first.groupBy(*own).agg(F.min("score").alias("least"), F.count("*").alias("found"))
-    kth = kth.select(*own, F.when(F.col("found") >= k, F.col("least")).cast("string").alias("least"))
+    kth = kth.select(*own, F.when(F.col("found") >= k, F.col("least")).alias("least"))
     others = F.filter(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: s != F.col("home"))
     away = queries.join(settled(kth, "kth_scores"), own, "left").select(
         "*", F.explode(others).alias("shard")
     )
-    rest = _searched(candidates, away, k, leaf_rows)
+    rest = _searched(trees, away, blocks, k)
     best_first = Window.partitionBy(*own).orderBy(F.desc("score"), "vec_id")
     return (
         first.unionByName(rest)
@@ -184,32 +185,55 @@ def nearest(
     )
 
 
-def _searched(candidates: DataFrame, queries: DataFrame, k: int, leaf_rows: int) -> DataFrame:
-    def search(shard: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(
-            _hits(shard, asked, k, leaf_rows), columns=["query_id", "query_key", "vec_id", "score"]
-        ).astype("int64")
-
-    tile = ["shard", "block"]
-    return (
-        candidates.groupBy(*tile)
-        .cogroup(queries.drop("home").groupBy(*tile))
-        .applyInPandas(search, _NEAR)
+def _trees(dealt: DataFrame, leaf_rows: int) -> DataFrame:
+    """``shard, trees``: each shard's trees, one per length of its vectors."""
+
+    def built(shard: pa.Table) -> pa.Table:
+        lengths = pc.list_value_length(shard["vector"])
+        trees = {}
+        for length in pc.unique(lengths).to_pylist():
+            rows = shard.filter(pc.equal(lengths, length))
+            values = rows["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+            matrix = values.astype(np.int64).reshape(rows.num_rows, length)
+            trees[length] = Tree(matrix, rows["vec_id"].to_numpy().copy(), leaf_rows)
+        return pa.table({"shard": shard["shard"][:1], "trees": pa.array([pickle.dumps(trees)], pa.binary())})
+
+    return dealt.groupBy("shard").applyInArrow(built, "shard int, trees binary")
+
+
+def _searched(trees: DataFrame, queries: DataFrame, blocks: int, k: int) -> DataFrame:
+    """The hits of each query in the shard beside it: every tree goes before its queries."""
+    none = F.lit(None)
+    blocked = trees.select(
+        "shard", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "trees",
+        none.cast("bigint").alias("query_id"), none.cast("bigint").alias("query_key"),
+        none.cast("array<bigint>").alias("vector"), none.cast("bigint").alias("least"),
+    )
+    asked = queries.select(
+        "shard", "block", none.cast("binary").alias("trees"), "query_id", "query_key", "vector", "least"
     )
-
-
-def _hits(shard: pd.DataFrame, asked: pd.DataFrame, k: int, leaf_rows: int) -> Iterator[tuple]:
-    if shard.empty or asked.empty:
-        return
-    lengths = shard["vector"].map(len)
-    for length, same in asked.groupby(asked["vector"].map(len)):
-        rows = shard[lengths == length]
-        if rows.empty:
-            continue
-        matrix = np.array(rows["vector"].tolist(), dtype=np.int64).reshape(len(rows), length)
-        tree = Tree(matrix, rows["vec_id"].to_numpy(), leaf_rows)
-        for query in same.itertuples():
-            least = int(query.least) if isinstance(query.least, str) else None
-            values = np.asarray(query.vector, dtype=np.int64)
-            for score, vec_id in tree.search(values, query.query_id, k, least):
-                yield query.query_id, query.query_key, vec_id, min(max(score, _LONG.min), _LONG.max)
+    tile = ["shard", "block"]
+    dealt = blocked.unionByName(asked).repartition(*tile)
+    return dealt.sortWithinPartitions(*tile, F.col("trees").isNull()).mapInArrow(_stream(k), _NEAR)
+
+
+def _stream(k: int):
+    def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trees: dict[int, Tree] = {}
+        for batch in batches:
+            found: list[tuple] = []
+            for row in batch.to_pylist():
+                if row["trees"] is not None:
+                    trees = pickle.loads(row["trees"])
+                    continue
+                tree = trees.get(len(row["vector"]))
+                if tree is not None:
+                    values = np.asarray(row["vector"], dtype=np.int64)
+                    for score, vec_id in tree.search(values, row["query_id"], k, row["least"]):
+                        score = min(max(score, _LONG.min), _LONG.max)
+                        found.append((row["query_id"], row["query_key"], vec_id, score))
+            columns = list(zip(*found, strict=True)) or [[]] * 4
+            names = ["query_id", "query_key", "vec_id", "score"]
+            yield pa.RecordBatch.from_arrays([pa.array(column, pa.int64()) for column in columns], names)
+
+    return hits

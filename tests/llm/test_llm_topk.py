@@ -57,3 +57,17 @@ def test_a_floor_prunes_and_loses_nothing():
     free = tree.search(query, -1, 10, None)
     assert free == sorted(((int(r @ query), i) for i, r in enumerate(data)), key=lambda e: (-e[0], e[1]))[:10]
     assert tree.search(query, -1, 10, free[-1][0]) == free
+
+
+def test_trees_are_built_once_and_vectors_not_repeated(spark, rows, monkeypatch):
+    """What the searches read is the stored trees: they build none, and no vector is shuffled."""
+    df = spark.createDataFrame(rows, SCHEMA)
+    stored = {}
+    settle = topk.settled
+    monkeypatch.setattr(topk, "settled", lambda rows, name: stored.setdefault(name, settle(rows, name)))
+    found = topk.nearest(df, F.col("vec_id") % 10 == 0, shard_rows=40, block_queries=5)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroups" not in plan and plan.count("MapInArrow") == 1
+    shards = stored["dealt_vectors"].select("shard").distinct().count()
+    assert stored["trees"].count() == shards > 5
+    assert found.count() > 0
