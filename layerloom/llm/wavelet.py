@@ -14,14 +14,16 @@ the ids and lengths of their documents.
 
 Defined cases: a null text is empty and holds only its end id. A null ``doc_id`` comes
 first; rows that repeat an id are ordered by a hash of the text. The special tokens' strings
-in a text are ordinary text. An empty table gives an empty result. Other columns play no
-part.
+in a text are what the tokenizer file makes of them. Very long texts are encoded whole, and a
+shard takes a text whole however long it is. An empty table gives an empty result. Other
+columns play no part.
 """
 
 from __future__ import annotations
 
 import io
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -38,8 +40,9 @@ from layerloom.workspace import new_run_dir
 
 SHARD_TOKENS = 1 << 22
 END_ID = 0
-#: A process keeps the ids of so many words at hand; it then starts anew.
-KEPT_WORDS = 300_000
+#: A process keeps the ids of so many words at hand, in two halves: when the newer one is full,
+#: it becomes the older one, and what of the older one was not used again goes.
+KEPT_WORDS = 1_000_000
 DIRECTORY_BITS = 512
 
 _SHARDS = "part int, shard int, n_tokens bigint, payload binary"
@@ -183,41 +186,59 @@ class Encoder:
 
     A single space between characters that are not white space always begins a pre-token,
     so what stands between two such spaces has the same ids everywhere. Those words are
-    encoded once and kept; texts with other white space next to a space are encoded whole.
+    encoded once and kept; texts with other white space next to a space, or with the string of
+    a special token, are encoded whole.
     """
 
+    #: A space at an end of the text, or beside other white space.
+    _BESIDE = re.compile(r"^ | $| \s|\s ")
+
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
-        self.tokenizer.encode_special_tokens = True
+        self.marks = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         size = self.tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.bits = max(1, (size - 1).bit_length())
+        # The ids of a word behind a space, by the word; those of a text's first word, by the
+        # word behind a space, as no other word holds one.
         self.kept: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def encoded(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, packed in the smallest type that holds them."""
         split = [self._words(text) for text in texts]
-        if len(self.kept) > KEPT_WORDS:
-            self.kept = {}
-        kept = self.kept
-        new = list({word for words in split for word in words if word not in kept})
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                kept[word] = np.array(found.ids, self.dtype).tobytes()
-        return [np.frombuffer(b"".join([kept[word] for word in words]), self.dtype) for words in split]
-
-    @staticmethod
-    def _words(text: str) -> list[str]:
+        if len(self.kept) > KEPT_WORDS // 2:
+            self.kept, self.older = {}, self.kept
+        kept, older = self.kept, self.older
+        missing = set().union(*(words for words in split if words is not None)).difference(kept)
+        again = missing.intersection(older)
+        kept.update((word, older[word]) for word in again)
+        new = list(missing - again)
+        behind = [word[1:] if word[:1] == " " else " " + word for word in new]
+        kept.update(zip(new, self._ids(behind), strict=True))
+        whole = iter(self._ids([text for text, words in zip(texts, split, strict=True) if words is None]))
+        packed = (next(whole) if words is None else b"".join(map(kept.__getitem__, words)) for words in split)
+        return [np.frombuffer(ids, self.dtype) for ids in packed]
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        packed = []
+        for at in range(0, len(texts), 4096):
+            found = self.tokenizer.encode_batch_fast(texts[at : at + 4096], add_special_tokens=False)
+            packed += [np.array(one.ids, self.dtype).tobytes() for one in found]
+        return packed
+
+    def _words(self, text: str) -> list[str] | None:
+        """The words that encode by themselves, or none if the text must be encoded whole."""
         if not text:
             return []
-        first, *rest = text.split(" ")
-        if any(not word or word[0].isspace() or word[-1].isspace() for word in (first, *rest)):
-            return [text]
-        return [first, *[" " + word for word in rest]]
+        if self._BESIDE.search(text) or any(mark in text for mark in self.marks):
+            return None
+        words = text.split(" ")
+        words[0] = " " + words[0]
+        return words
 
 
 @cache

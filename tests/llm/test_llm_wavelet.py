@@ -37,7 +37,6 @@ def test_access_rank_and_select(length):
 @pytest.fixture(scope="module")
 def encode():
     tokenizer = Tokenizer.from_file(FILE)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
 
 
@@ -59,7 +58,7 @@ def test_query_equals_the_library(spark, encode):
 
 @pytest.mark.parametrize("shard_tokens", [1, 50, 1 << 22])
 def test_odd_texts(spark, encode, shard_tokens):
-    texts = ["", " ", "a  b", " lead", "trail ", "x\n y", "\n", "don't  ", "a\n b c", "日本 語", "<|endoftext|> x", "word " * 3000, "a\u00a0 b"]
+    texts = ["", " ", "a  b", " lead", "trail ", "x\n y", "\n", "don't  ", "a\n b c", "日本 語", "<|endoftext|> x", "x <|endoftext|> y", "a<|endoftext|>b c", "\x1c y", "a \x85b", "a\x1f b", "word " * 3000, "a\u00a0 b"]
     rows = [(None, None), *enumerate(texts)]
     docs = spark.createDataFrame([(*row, "x") for row in rows], "doc_id bigint, text string, tie string").repartition(3)
     path = wavelet.write_shards(docs, FILE, shard_tokens=shard_tokens)
@@ -73,3 +72,18 @@ def test_repeats_and_no_rows(spark, encode):
     assert [r.doc_id for r in found] == [0, 1, 1, 1]
     assert found[-1].start + found[-1].n_tokens == sum(len(encode(t)) for t in ("same", "same", "other", "first"))
     assert wavelet.read_documents(spark, wavelet.write_shards(docs.limit(0), FILE)).count() == 0
+
+
+def test_words_come_and_go(monkeypatch, encode):
+    """A small store of words, so that halves of it are dropped all the time."""
+    monkeypatch.setattr(wavelet, "KEPT_WORDS", 6)
+    with open(FILE, encoding="utf-8") as file:
+        encoder = wavelet.Encoder(file.read())
+    rng = np.random.default_rng(1)
+    words = ["the", "of", "a", "Zürich", "don't", "x" * 40, "日本", "1234", "\n\n", "...", "", "\u00a0"]
+    for _ in range(60):
+        texts = [" ".join(rng.choice(words, rng.integers(0, 9))) for _ in range(3)]
+        assert [ids.tolist() + [0] for ids in encoder.encoded(texts)] == [encode(text) for text in texts]
+        assert len(encoder.kept) <= 3 + 27
+    mark = "x <|endoftext|> y"
+    assert encoder.encoded([mark])[0].tolist() == [87, 220, 50256, 331]
