@@ -2,16 +2,18 @@
 
 A word is an array of bytes, and each byte is a token. A fold merges, again and again, the
 adjacent pair whose merged token has the lowest rank, until no pair is in the rank map. The
-rank map is a literal of the plan, and so is the table of tokens. Tokens are written as
+rank map and the table of tokens are values of the plan, not rows of a join. They come from scalar
+subqueries, which become literals when a query starts; written into the expressions, they
+would stand in the text of every plan, which the driver keeps. Tokens are written as
 single characters whose code points rise with the rank: a word is then a short string, the
 lowest rank is the least merged character, and one ``replace`` merges all its occurrences.
 That equals merging one by one from the left for every vocabulary in which each token is
 what its own bytes encode to; :func:`vocabulary` checks that.
 
 Most of a text is made of frequent words. The distinct words of a bounded sample are folded
-first, once each, and the ``kept`` most frequent of them become a literal too. All
+first, once each, and the ``kept`` most frequent of them become a value of the same kind. All
 other words are folded where they stand, so the sample decides the speed and never the
-result. Nothing is joined or shuffled but the sample's word counts.
+result. Nothing is joined or shuffled but the sample's words.
 
 Words are the matches of the tokenizer's pattern. Where every space stands between
 characters that are not white space, a space always begins a match, so that such texts are
@@ -20,7 +22,9 @@ cut at their spaces, which is cheaper, and the pattern runs within an unknown wo
 Decoding looks up each id's bytes and concatenates the pieces.
 
 Defined cases: a null text is an empty text and has no ids. Null ids decode to nothing.
-An id outside the vocabulary is an error. Other columns play no part.
+An id outside the vocabulary is an error. Rows that repeat a document are encoded each. Very
+long texts are encoded whole; a single word of many thousand bytes takes long, as each merge goes
+over all of it. An empty table gives an empty result. Other columns play no part.
 """
 
 from __future__ import annotations
@@ -31,15 +35,17 @@ from dataclasses import dataclass
 from functools import cache
 
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerloom.llm.common import settled, whole_text
+from layerloom.llm.common import others, settled, whole_text
 
-SAMPLE_DOCS = 20_000
-KEPT_WORDS = 96_000
+SAMPLE_DOCS = 100_000
+KEPT_WORDS = 1_000_000
 
 _BUCKETS = 1 << 15
+#: Of the table of kept words: a few words each.
+_KEPT_BUCKETS = 1 << 18
 _FIRST = 0x100
 #: Marks in literals; words that hold one are not kept.
 _KEY, _VALUE, _BUCKET = "\x01", "\x02", "\x03"
@@ -47,8 +53,6 @@ _DONE = "\x00"
 #: Above every symbol.
 _NONE = chr(0x10FFFF)
 _SURROGATES = 0xD800, 0x800
-#: Between the pieces of a table: no byte is written so.
-_SYMBOL_MARK = chr(_FIRST)
 
 
 @dataclass(frozen=True)
@@ -95,8 +99,8 @@ def _bucket(key: str) -> int:
     return xxhash.xxh64_intdigest(key.encode(), seed=42) & (_BUCKETS - 1)
 
 
-def _bucket_column(key: Column) -> Column:
-    return F.xxhash64(key).bitwiseAND(F.lit(_BUCKETS - 1)).cast("int")
+def _bucket_column(key: Column, buckets: int = _BUCKETS) -> Column:
+    return F.xxhash64(key).bitwiseAND(F.lit(buckets - 1)).cast("int")
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -104,13 +108,13 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _rank_map(words: Vocabulary) -> Column:
+def _rank_map(words: Vocabulary) -> list[str]:
     """The merges of each hash bucket, as a mark, the pair of symbols and the merged one."""
     buckets = [_NONE] * _BUCKETS
     for token, (one, other) in words.pairs.items():
         pair = _symbol(one) + _symbol(other)
         buckets[_bucket(pair)] += _KEY + pair + _symbol(token)
-    return F.split(F.lit(_BUCKET.join(buckets)), _BUCKET)
+    return buckets
 
 
 def _merge_of(pair: Column, rank_map: Column) -> Column:
@@ -120,26 +124,33 @@ def _merge_of(pair: Column, rank_map: Column) -> Column:
     return F.substring(behind, 1, 1)
 
 
-def _pair_table(words: Vocabulary) -> Column:
+def _pair_table(words: Vocabulary) -> list[str]:
     """Each id's pair of symbols; nothing for single bytes."""
     pairs = [words.pairs.get(token) for token in range(len(words.pieces))]
-    texts = [_symbol(pair[0]) + _symbol(pair[1]) if pair else "" for pair in pairs]
-    return F.split(F.lit(_BUCKET.join(texts)), _BUCKET)
+    return [_symbol(pair[0]) + _symbol(pair[1]) if pair else "" for pair in pairs]
 
 
-def folded(word: Column, words: Vocabulary) -> Column:
+def _piece_table(words: Vocabulary) -> list[str]:
+    """Each id's bytes, a byte as the character of its number, since a join takes strings."""
+    return [piece.decode("latin-1") for piece in words.pieces]
+
+
+def _value(spark: SparkSession, strings: list[str]) -> Column:
+    """An array as a subquery. It may stand in a column of its own only, see :func:`encoded`."""
+    one = spark.createDataFrame([(strings,)], "strings array<string>")
+    return one.select("strings").scalar()
+
+
+def folded(word: Column, words: Vocabulary, rank_map: Column, pair_of: Column) -> Column:
     """The symbols of a word: ranked merges folded over its bytes."""
-    rank_map, pair_of = _rank_map(words), _pair_table(words)
     single = {piece[0]: token for token, piece in enumerate(words.pieces) if len(piece) == 1}
     latin = "".join(map(chr, range(256)))
     own = "".join(_symbol(single[byte]) for byte in range(256))
     content = F.translate(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), latin, own)
 
     def merged(symbols: Column) -> Column:
-        parts = F.split(symbols, "")
-        # The last pair has no second part, and so no merge.
-        pairs = F.zip_with(parts, F.slice(parts, 2, F.length(symbols)), lambda a, b: F.concat(a, b))
-        best = F.array_min(F.transform(pairs, lambda p: _merge_of(p, rank_map)))
+        at = F.sequence(F.lit(1), F.length(symbols) - 1)
+        best = F.array_min(F.transform(at, lambda i: _merge_of(F.substring(symbols, i, F.lit(2)), rank_map)))
         return _let(
             best,
             lambda m: F.when(m < _NONE, F.replace(symbols, F.get(pair_of, _token(m)), m)).otherwise(
@@ -150,7 +161,7 @@ def folded(word: Column, words: Vocabulary) -> Column:
     def fold(start: Column) -> Column:
         steps = F.sequence(F.lit(1), F.length(start))
         return F.aggregate(
-            steps, start, lambda s, _: F.when(F.endswith(s, F.lit(_DONE)), s).otherwise(merged(s))
+            steps, start, lambda s, _: F.when((F.length(s) < 2) | F.endswith(s, F.lit(_DONE)), s).otherwise(merged(s))
         )
 
     return F.replace(_let(content, fold), F.lit(_DONE), F.lit(""))
@@ -183,40 +194,74 @@ def _cut(text: Column, pattern: str) -> Column:
 
 def kept_words(
     docs: DataFrame, text: str, words: Vocabulary, pattern: str, sample_docs: int, kept: int
-) -> dict[str, str]:
-    """The most frequent pieces and matches of a sample, with their decimal ids."""
+) -> DataFrame:
+    """``piece, ids``: the most frequent pieces and matches of a sample, with their decimal ids."""
     sample = docs.sample(min(1.0, sample_docs / max(1, docs.count())), seed=7)
     pieces = sample.select(F.explode(_cut(whole_text(F.col(text)), pattern)).alias("piece"))
     found = settled(pieces.groupBy("piece").count(), "pieces")
     matches = found.select(F.explode(_matches(F.col("piece"), pattern)).alias("piece"), "count")
     counted = found.unionByName(matches).groupBy("piece").agg(F.sum("count").alias("count"))
     plain = ~F.regexp_like("piece", F.lit(f"[{_KEY}{_VALUE}{_BUCKET}]"))
-    top = settled(counted.filter(plain).orderBy(F.desc("count"), "piece").limit(kept), "frequent")
-    symbols = F.transform(_matches(F.col("piece"), pattern), lambda word: folded(word, words))
-    ids = _numbers(F.array_join(symbols, ""), words)
-    # At most ``kept`` words, so what reaches the driver is bounded whatever the data.
-    found = settled(top.repartition("piece").select("piece", ids.alias("ids")), "kept_words").toArrow()
-    return dict(zip(found["piece"].to_pylist(), found["ids"].to_pylist(), strict=True))
+    counted = settled(counted.filter(plain), "counted")
+    top = counted.filter(F.col("count") >= _least_count(counted, kept)).select("piece")
+    given = top.repartition("piece").select("piece", *_tables(docs.sparkSession, words))
+    ids = _with_tables(
+        lambda ranks, pairs: _numbers(
+            F.array_join(
+                F.transform(_matches(F.col("piece"), pattern), lambda word: folded(word, words, ranks, pairs)), ""
+            ),
+            words,
+        )
+    )
+    return settled(given.select("piece", ids.alias("ids")), "kept_words")
+
+
+def _tables(spark: SparkSession, words: Vocabulary) -> list[Column]:
+    """The rank map and the pairs as columns, for :func:`_with_tables`."""
+    return [_value(spark, _rank_map(words)).alias("_ranks"), _value(spark, _pair_table(words)).alias("_pairs")]
+
 
+def _with_tables(use: Callable[[Column, Column], Column]) -> Column:
+    """``use`` of the rank map and the pairs. Each column is named once, so that Spark makes one
+    projection of it and the subquery, and the arrays are never part of a row."""
+    return _let(F.col("_ranks"), lambda ranks: _let(F.col("_pairs"), lambda pairs: use(ranks, pairs)))
 
-def _kept_table(kept: dict[str, str]) -> Column:
-    """The kept words of each hash bucket, in one string."""
-    buckets = [""] * _BUCKETS
-    for word, ids in kept.items():
-        buckets[_bucket(word)] += _KEY + word + _VALUE + ids
-    return F.split(F.lit(_BUCKET.join(buckets)), _BUCKET)
+
+def _least_count(counted: DataFrame, kept: int) -> int:
+    """The least count of which no more than ``kept`` words have as many."""
+    left = kept
+    # A row per count: counts that differ add up, so they are few even for very many words.
+    sizes = counted.groupBy("count").agg(F.count("*").alias("words")).orderBy(F.desc("count"))
+    least = None
+    for row in sizes.collect():
+        left -= row["words"]
+        if left < 0:
+            break
+        least = row["count"]
+    return (1 << 62) if least is None else least
+
+
+def _kept_table(kept: DataFrame) -> Column:
+    """The kept words of each hash bucket in one string, as a subquery for an array of the buckets."""
+    bucket = _bucket_column(F.col("piece"), _KEPT_BUCKETS).alias("bucket")
+    entry = F.concat(F.lit(_KEY), "piece", F.lit(_VALUE), "ids").alias("entry")
+    filled = kept.select(bucket, entry).groupBy("bucket").agg(F.array_join(F.collect_list("entry"), "").alias("entries"))
+    every = kept.sparkSession.range(_KEPT_BUCKETS).select(F.col("id").cast("int").alias("bucket"))
+    every = every.join(filled, "bucket", "left").select("bucket", F.coalesce("entries", F.lit("")).alias("entries"))
+    stored = settled(every, "kept_table")
+    ordered = F.array_sort(F.collect_list(F.struct("bucket", "entries")))
+    return stored.agg(F.transform(ordered, lambda one: one["entries"]).alias("table")).scalar()
 
 
 def _kept_ids(word: Column, table: Column) -> Column:
-    """A kept word's decimal ids, or null. A mark within the word would confuse the search."""
-    def search(entries: Column) -> Column:
-        key = F.concat(F.lit(_KEY), word, F.lit(_VALUE))
-        start = F.instr(entries, key)
-        tail = F.substring(entries, start + F.length(key), F.length(entries))
-        return F.when(start > 0, F.substring_index(tail, _KEY, 1))
+    """A kept word's decimal ids, or null. A mark within the word would confuse the search.
 
-    plain = F.instr(word, _KEY) == 0
-    return F.when(plain, _let(F.get(table, _bucket_column(word)), search))
+    Without the word, all entries are left, and nothing is before the first one's mark.
+    """
+    entries = F.get(table, _bucket_column(word, _KEPT_BUCKETS))
+    key = F.concat(F.lit(_KEY), word, F.lit(_VALUE))
+    behind = F.call_function("substring_index", entries, key, F.lit(-1))
+    return F.when(F.instr(word, _KEY) == 0, F.nullif(F.substring_index(behind, _KEY, 1), F.lit("")))
 
 
 def encoded(
@@ -237,32 +282,45 @@ def encoded(
     source = docs if sampled is None else sampled
     frequent = _kept_table(kept_words(source, text, words, pattern, sample_docs, kept))
 
-    def numbers(word: Column, table: Column) -> Column:
-        return F.coalesce(_kept_ids(word, table), _numbers(folded(word, words), words))
+    def piece_numbers(piece: Column, table: Column, ranks: Column, pairs: Column) -> Column:
+        def numbers(word: Column) -> Column:
+            return F.coalesce(_kept_ids(word, table), _numbers(folded(word, words, ranks, pairs), words))
 
-    def piece_numbers(piece: Column, table: Column) -> Column:
-        within = F.transform(_matches(piece, pattern), lambda word: numbers(word, table))
+        within = F.transform(_matches(piece, pattern), numbers)
         return F.coalesce(_kept_ids(piece, table), F.array_join(within, ","))
 
-    pieces = _cut(whole_text(F.col(text)), pattern)
-    ids = _let(  # so that the table stands in the plan once
-        frequent,
-        lambda table: F.array_join(F.transform(pieces, lambda piece: piece_numbers(piece, table)), ","),
+    pieces = _cut(whole_text(F.col("text")), pattern)
+    ids = _with_tables(
+        lambda ranks, pairs: _let(
+            F.col("_table"),
+            lambda table: F.array_join(
+                F.transform(pieces, lambda piece: piece_numbers(piece, table, ranks, pairs)), ","
+            ),
+        )
     )
-    # The row as one field, so that no name of its columns can clash.
-    found = docs.select(F.struct("*").alias("row"), ids.alias("ids"))
-    return found.select(*(F.col("row").getField(c).alias(c) for c in docs.columns if c != "ids"), "ids")
+    # The row as one field, so that no name of its columns can clash. Subqueries are columns
+    # first, as they may not stand in a higher-order function.
+    tables = [*_tables(docs.sparkSession, words), frequent.alias("_table")]
+    given = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"), *tables)
+    found = given.select("row", ids.alias("ids"))
+    return found.select(*(F.col("row").getField(c).alias(c) for c in others(docs.columns, "ids")), "ids")
 
 
 def id_array(ids: Column) -> Column:
     return F.when(F.length(ids) > 0, F.split(ids, ",").cast("array<int>")).otherwise(F.array().cast("array<int>"))
 
 
-def decoded(ids: Column, rank_file: str) -> Column:
-    """The bytes of an array of ids: the binary pieces, concatenated."""
-    # A byte is written as the character of its number, since a join takes strings.
-    pieces = [piece.decode("latin-1") for piece in vocabulary(rank_file).pieces]
-    table = F.split(F.lit(_SYMBOL_MARK.join(pieces)), _SYMBOL_MARK)
-    # element_at is an error outside the table.
-    joined = F.array_join(F.transform(ids, lambda i: F.element_at(table, i + 1)), "")
-    return F.encode(joined, "ISO-8859-1")
+def decoded(rows: DataFrame, ids: str, rank_file: str, name: str = "decoded") -> DataFrame:
+    """The rows with ``name``, the bytes of an array of ids: the binary pieces, concatenated.
+
+    A column of that name is replaced.
+    """
+    pieces = _value(rows.sparkSession, _piece_table(vocabulary(rank_file))).alias("_pieces")
+    given = rows.select(F.struct("*").alias("row"), F.col(ids).alias("ids"), pieces)
+
+    def joined(table: Column) -> Column:
+        # element_at is an error outside the table.
+        return F.array_join(F.transform(F.col("ids"), lambda i: F.element_at(table, i + 1)), "")
+
+    found = given.select("row", F.encode(_let(F.col("_pieces"), joined), "ISO-8859-1").alias(name))
+    return found.select(*(F.col("row").getField(c).alias(c) for c in others(rows.columns, name)), name)

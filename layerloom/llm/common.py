@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,12 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def others(columns: Sequence[str], *added: str) -> list[str]:
+    """The columns that stay beside added ones: names that differ only by case clash as well."""
+    taken = {name.lower() for name in added}
+    return [name for name in columns if name.lower() not in taken]
+
+
 def whole_text(column: Column | str) -> Column:
     """The text, where a missing one counts as empty."""
     return F.coalesce(column, F.lit(""))

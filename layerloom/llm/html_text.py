@@ -33,6 +33,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from layerloom.llm.common import others
+
 WINDOW_LINES = 3
 SURGE_CHARS = 80
 LINK_SHARE = 0.6
@@ -215,9 +217,8 @@ def text_column(html: Column) -> Column:
 def extracted(pages: DataFrame, html: str = "html") -> DataFrame:
     """The rows with ``text`` and ``n_chars`` in place of the HTML."""
     found = pages.select(F.struct("*").alias("row"), text_column(F.col(html)).alias("text"))
-    others = [c for c in pages.columns if c not in (html, "text", "n_chars")]
     return found.select(
-        *(F.col("row").getField(c).alias(c) for c in others),
+        *(F.col("row").getField(c).alias(c) for c in others(pages.columns, html, "text", "n_chars")),
         "text",
         F.length("text").cast("bigint").alias("n_chars"),
     )

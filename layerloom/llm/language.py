@@ -29,6 +29,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from layerloom.llm.common import others
+
 ROWS_PER_LANGUAGE = 4000
 GRAMS_PER_LANGUAGE = 20_000
 MAX_LANGUAGES = 1024
@@ -178,7 +180,7 @@ def identified(docs: DataFrame, filters: Filters, text: str = "text") -> DataFra
 
     # The row as one field, so that no name of its columns can clash.
     judged = docs.select(F.struct("*").alias("row"), judge(F.col(text)).alias("found"))
-    others = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in ("lang_pred", "score")]
+    kept = [F.col("row").getField(c).alias(c) for c in others(docs.columns, "lang_pred", "score")]
     return judged.select(
-        *others, F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score")
+        *kept, F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score")
     )

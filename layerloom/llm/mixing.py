@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from layerloom.llm.common import settled
+from layerloom.llm.common import others, settled
 
 #: Slots that the schedule hands on at a time; it decides no result.
 PERIOD = 1000
@@ -123,9 +123,11 @@ def mixed(
         F.pmod("rank", F.lit(block_rows)).cast("int").alias("place"),
     )
     placed = blocks.join(plan, F.col("source").eqNullSafe(F.col("of")) & (F.col("block") == F.col("own")))
-    others = [c for c in docs.columns if c not in ("block", "slot", "place")]
     return placed.select(
-        *(F.col("row").getField(c).alias(c) for c in others), "block", F.col("at").alias("slot"), "place"
+        *(F.col("row").getField(c).alias(c) for c in others(docs.columns, "block", "slot", "place")),
+        "block",
+        F.col("at").alias("slot"),
+        "place",
     )
 
 

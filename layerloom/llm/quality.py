@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from layerloom.llm.common import settled, whole_text
+from layerloom.llm.common import others, settled, whole_text
 
 #: How much of each covariance is taken from the diagonal of the pooled one.
 SHRINKAGE = 0.2
@@ -174,8 +174,8 @@ def vectors(docs: DataFrame, text: str = "text", name: str = "statistics") -> Da
     def of(texts: pd.Series) -> pd.Series:
         return texts.map(statistics)
 
-    others = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in (text.lower(), name.lower())]
-    return docs.select(*others, of(whole_text(F.col(text))).alias(name))
+    kept = [F.col(f"`{c}`") for c in others(docs.columns, text, name)]
+    return docs.select(*kept, of(whole_text(F.col(text))).alias(name))
 
 
 def fitted(rows: DataFrame, statistic: str, weight_of_one: Column, shrinkage: float = SHRINKAGE) -> Model:
@@ -225,9 +225,8 @@ def scored(rows: DataFrame, model: Model, statistic: str = "statistics") -> Data
         return pd.Series(model.scores(np.stack(found.to_numpy())))
 
     held = rows.select(F.struct("*").alias("row"), score(F.col(statistic)).alias("score"))
-    others = [c for c in rows.columns if c.lower() not in ("score", "predicted", statistic.lower())]
     return held.select(
-        *(F.col("row").getField(c).alias(c) for c in others),
+        *(F.col("row").getField(c).alias(c) for c in others(rows.columns, "score", "predicted", statistic)),
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )

@@ -69,12 +69,12 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def digested(encoded: DataFrame, rank_file: str) -> DataFrame:
     """Counts and digests of the ids and of the bytes that they decode to."""
-    ids = bpe.id_array(F.col("ids"))
-    return encoded.select(
+    found = encoded.select("doc_id", "ids", bpe.id_array(F.col("ids")).alias("numbers"))
+    return bpe.decoded(found, "numbers", rank_file).select(
         "doc_id",
-        F.size(ids).cast("bigint").alias("n_tokens"),
+        F.size("numbers").cast("bigint").alias("n_tokens"),
         F.sha2(F.col("ids").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(bpe.decoded(ids, rank_file), 256).alias("decoded_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 

@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from layerloom.llm.common import others
+
 BLOCK_RULES = 200_000
 ALLOW, BLOCK = "allow", "block"
 
@@ -119,7 +121,7 @@ def judged(
     Columns of these names are replaced.
     """
     own = ("host", "path", "rule", "verdict")
-    others = [F.col("row").getField(name).alias(name) for name in pages.columns if name not in own]
+    kept = [F.col("row").getField(name).alias(name) for name in others(pages.columns, *own)]
     # The row as one field, so that no name of its columns can clash.
     parted = pages.select(
         F.struct("*").alias("row"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path")
@@ -132,7 +134,7 @@ def judged(
     best = F.array_max(F.array(*hits))
     hit = parted.select("*", best.alias("hit"))
     verdict = F.coalesce("hit.verdict", F.lit(default)).alias("verdict")
-    return hit.select(*others, "host", "path", F.col("hit.rule").alias("rule"), verdict)
+    return hit.select(*kept, "host", "path", F.col("hit.rule").alias("rule"), verdict)
 
 
 def _matcher(pages: DataFrame, rules: Sequence[Rule]):

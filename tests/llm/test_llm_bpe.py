@@ -31,8 +31,8 @@ def test_odd_texts(spark, encode, kept):
     docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(TEXTS)], "n int, text string, row string")
     found = bpe.encoded(docs, FILE, P.PATTERN, kept=kept)
     assert found.columns == ["n", "text", "row", "ids"]
-    ids = bpe.id_array(F.col("ids"))
-    for row in found.select("text", ids.alias("ids"), bpe.decoded(ids, FILE).alias("bytes")).collect():
+    found = found.withColumn("ids", bpe.id_array(F.col("ids")))
+    for row in bpe.decoded(found, "ids", FILE, "bytes").collect():
         assert row.ids == encode(row.text)
         assert bytes(row.bytes) == (row.text or "").encode()
     assert bpe.encoded(docs.limit(0), FILE, P.PATTERN, kept=kept).count() == 0
