@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import SparkSession
@@ -37,9 +40,26 @@ def _local_dir() -> str:
     return tempfile.mkdtemp(prefix="layerloom-")
 
 
+_folder: ContextVar[str | None] = ContextVar("folder", default=None)
+
+
 def new_run_dir(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/{_RUNS}/{name}-{uuid.uuid4().hex}"
+    return f"{_folder.get() or f'{shared_dir(spark)}/{_RUNS}'}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def run_folder(spark: SparkSession, name: str) -> Iterator[str]:
+    """One folder for all that is written within, for the caller to release.
+
+    It is not deleted by itself, as DataFrames that were made within may still read from it.
+    """
+    folder = new_run_dir(spark, name)
+    before = _folder.set(folder)
+    try:
+        yield folder
+    finally:
+        _folder.reset(before)
 
 
 def release(spark: SparkSession, run_dir: str) -> bool:

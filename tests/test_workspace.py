@@ -33,6 +33,19 @@ def test_session_setting_wins():
     assert first.startswith("hdfs://shared/work/layerloom/job-")
 
 
+def test_a_run_can_be_released_as_a_whole(spark, tmp_path):
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    with workspace.run_folder(spark, "run") as folder:
+        with workspace.run_folder(spark, "step") as inner:
+            spark.range(3).write.parquet(workspace.new_run_dir(spark, "a"))
+        rows = spark.range(5).write.parquet(workspace.new_run_dir(spark, "b"))
+    assert rows is None and inner.startswith(f"{folder}/step-")
+    assert not workspace.new_run_dir(spark, "c").startswith(folder)
+    assert workspace.release(spark, inner) and workspace.release(spark, folder)
+    assert not workspace.release(spark, folder)
+    assert spark.conf.get("spark.checkpoint.dir", None) == before
+
+
 def test_cluster_without_setting_is_an_error():
     with pytest.raises(RuntimeError):
         workspace.shared_dir(FakeSession(spark_master="yarn"))
