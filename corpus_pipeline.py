@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerloom.llm import bpe, exact_dedup, language, mixing, simhash
-from layerloom.llm.common import settled, table
+from layerloom.llm.common import table
+from layerloom.workspace import release, run_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -55,10 +56,10 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     placed = mixing.mix_sorted(mixing.mixed(docs))
     # The frequent words are of the rows as they were read, so that they are not sorted twice.
     encoded = bpe.encoded(placed, ranks, public_tokenizers.PATTERN, sampled=docs)
-    ids = bpe.id_array(F.col("ids"))
-    decoded = F.sha2(bpe.decoded(ids, ranks), 256)
-    return encoded.withColumns(
-        {"n_tokens": F.size(ids).cast("bigint"), "ids": ids, "decoded_sha256": decoded}
+    found = encoded.withColumn("ids", bpe.id_array(F.col("ids")))
+    decoded = bpe.decoded(found, "ids", ranks, "decoded_sha256")
+    return decoded.withColumns(
+        {"n_tokens": F.size("ids").cast("bigint"), "decoded_sha256": F.sha2("decoded_sha256", 256)}
     )
 
 
@@ -75,7 +76,21 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages in a row. What a stage wrote besides its result goes when the next one has ended.
+
+    Null texts, texts without a letter, repeats and near copies go; a null id, language or
+    source stays; an empty table gives an empty result. Very long texts are worked on whole.
+    Columns that the documents have besides are kept, but for those the last stage adds
+    (``block``, ``slot``, ``place``, ``n_tokens``, ``ids``, ``decoded_sha256``).
+    """
+    docs, done = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
-        docs = settled(stage(spark, docs, sf_dir), name)
+        with run_folder(spark, name) as result, run_folder(spark, "steps") as steps:
+            found = stage(spark, docs, sf_dir)
+            place = f"{result}/rows"
+            found.write.parquet(place)
+        docs = spark.read.schema(found.schema).parquet(place)
+        for folder in (*done, steps):
+            release(spark, folder)
+        done = [result]
     return docs
