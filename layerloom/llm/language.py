@@ -14,7 +14,9 @@ has one fixed size, which bounds its broadcast. Prediction covers every whole te
 Defined cases: a text that is null or without a letter is ``und`` with score 0. A text with
 letters but no known n-gram gets the language with most training texts, with score 0. Ties
 go to the language with more training texts, then to the smaller name. Without any
-training text every text is ``und``. Rows without text or language are not learned from.
+training text every text is ``und``. Rows without text or language are not learned from. Very
+long texts are read whole, in slices; rows that repeat a document are judged each. An empty
+table gives an empty result. ``lang_pred`` and ``score`` replace columns of that name.
 """
 
 from __future__ import annotations

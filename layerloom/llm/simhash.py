@@ -18,7 +18,8 @@ of bounded size, so no bucket is capped and none is gathered.
 Defined cases: a null text has no words, like an empty one; such texts have the fingerprint
 zero and link like any other. Rows with a null id take part in the links; a group of such
 rows alone has a null component, and one row of each of its texts stays. Rows that repeat
-id and text are one document when rows are kept. Other columns play no part.
+id and text are one document when rows are kept. Very long texts are read whole. An empty table
+gives an empty result. Other columns play no part.
 """
 
 from __future__ import annotations

@@ -12,7 +12,9 @@ the blocks' rules.
 
 Defined cases: a null URL, or one without ``://``, has an empty host and path and fits no
 rule. A URL that no rule fits gets the default verdict. An empty label (``a..b``) is a
-label like any other. A path is compared as it is: case and escapes count.
+label like any other. A path is compared as it is: case and escapes count. Rows that repeat
+a URL are judged each, very long URLs whole. Rules that fit one URL with equal lengths are one
+rule; if it is listed with both verdicts, it blocks. An empty table gives an empty result.
 """
 
 from __future__ import annotations

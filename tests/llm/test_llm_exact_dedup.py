@@ -57,3 +57,20 @@ def test_chunks_compose():
         left, right = content[:cut], content[cut:]
         hashes = exact_dedup.chunk_hash(left, p), exact_dedup.chunk_hash(right, p)
         assert exact_dedup.combined(*hashes, len(right), p) == whole
+
+
+def test_texts_above_the_chunk_size(spark):
+    """Of the default size: equal texts of several chunks, one that differs at the very end, and at a border."""
+    size = exact_dedup.CHUNK_BYTES
+    long = "0123456789abcdef" * (size // 4) + "tail"
+    rows = [(1, long), (2, long), (3, long[:-1] + "L"), (4, long[: size - 1] + "X" + long[size:]), (5, "é" * size), (6, "é" * size)]
+    rows += [(7, long[:size]), (8, long[:size]), (9, long[: size + 1])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    assert {tuple(r) for r in exact_dedup.duplicate_groups(docs).collect()} == brute(rows)
+    for text in (long, "é" * size):
+        content, p = text.encode(), exact_dedup.MODULI[1]
+        value = 0
+        for byte in content:
+            value = (value * exact_dedup.BASE + byte) % p
+        found = exact_dedup.fingerprints(docs.filter(docs["text"] == text)).first()
+        assert found.low == value and found.n_bytes == len(content)

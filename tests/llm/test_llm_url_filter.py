@@ -57,3 +57,12 @@ def test_bad_rules():
     for verdict, text in (("maybe", "net/"), ("block", "/path")):
         with pytest.raises(ValueError):
             url_filter.rule(verdict, text)
+
+
+def test_very_long_and_repeated_urls(spark):
+    long = "http://" + "a." * 50_000 + "example.net/en/" + "x/" * 50_000
+    pages = spark.createDataFrame([(1, long), (1, long), (2, "x" * 200_000)], "page_id int, url string")
+    rows = url_filter.judged(pages, URL_RULES).collect()
+    assert [(r.page_id, r.rule, r.verdict) for r in sorted(rows, key=lambda r: r.page_id)] == [
+        (1, "example.net/en/", "allow"), (1, "example.net/en/", "allow"), (2, None, "allow")
+    ]
