@@ -35,7 +35,8 @@ def found_schema(df: DataFrame, body: str) -> StructType:
     tasks, so one type a task is shuffled and none is guessed from a sample. Fields are united
     at every depth. Numbers widen to a decimal that holds them all, or to double. Types that
     nothing holds without loss (a string here, an object there) become ``variant``, and so do
-    objects that are always empty. A field that is always null is a string.
+    objects that are always empty. A field that is always null is a string. Objects that are
+    used as maps, with ever new names, give a field for each: better name a map for these.
 
     Bodies that are null, not JSON, no object, or with a name twice in one object have no
     part in the schema. Without any object the schema has no fields.

@@ -49,6 +49,8 @@ def append_unread(
     that fails between the two is taken up again with the very same files: what it left is
     removed first, so each file counts once. Files must not change, and get new names when new.
     """
+    if config.format == "delta":
+        raise ValueError("a Delta table is more than its files: follow it with new_files")
     (from_layer, from_table), (to_layer, to_table) = source, target
     read_from, path = config.layer_path(from_layer, from_table), config.layer_path(to_layer, to_table)
     for place in (read_from, path):
