@@ -39,6 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerloom.llm.common import others, settled, whole_text
+from layerloom.workspace import release, run_folder
 
 SAMPLE_DOCS = 100_000
 KEPT_WORDS = 1_000_000
@@ -196,15 +197,17 @@ def kept_words(
     docs: DataFrame, text: str, words: Vocabulary, pattern: str, sample_docs: int, kept: int
 ) -> DataFrame:
     """``piece, ids``: the most frequent pieces and matches of a sample, with their decimal ids."""
-    sample = docs.sample(min(1.0, sample_docs / max(1, docs.count())), seed=7)
-    pieces = sample.select(F.explode(_cut(whole_text(F.col(text)), pattern)).alias("piece"))
-    found = settled(pieces.groupBy("piece").count(), "pieces")
-    matches = found.select(F.explode(_matches(F.col("piece"), pattern)).alias("piece"), "count")
-    counted = found.unionByName(matches).groupBy("piece").agg(F.sum("count").alias("count"))
-    plain = ~F.regexp_like("piece", F.lit(f"[{_KEY}{_VALUE}{_BUCKET}]"))
-    counted = settled(counted.filter(plain), "counted")
+    spark = docs.sparkSession
+    with run_folder(spark, "words") as steps:
+        sample = docs.sample(min(1.0, sample_docs / max(1, docs.count())), seed=7)
+        pieces = sample.select(F.explode(_cut(whole_text(F.col(text)), pattern)).alias("piece"))
+        found = settled(pieces.groupBy("piece").count(), "pieces")
+        matches = found.select(F.explode(_matches(F.col("piece"), pattern)).alias("piece"), "count")
+        counted = found.unionByName(matches).groupBy("piece").agg(F.sum("count").alias("count"))
+        plain = ~F.regexp_like("piece", F.lit(f"[{_KEY}{_VALUE}{_BUCKET}]"))
+        counted = settled(counted.filter(plain), "counted")
     top = counted.filter(F.col("count") >= _least_count(counted, kept)).select("piece")
-    given = top.repartition("piece").select("piece", *_tables(docs.sparkSession, words))
+    given = top.repartition("piece").select("piece", *_tables(spark, words))
     ids = _with_tables(
         lambda ranks, pairs: _numbers(
             F.array_join(
@@ -213,7 +216,9 @@ def kept_words(
             words,
         )
     )
-    return settled(given.select("piece", ids.alias("ids")), "kept_words")
+    found = settled(given.select("piece", ids.alias("ids")), "kept_words")
+    release(spark, steps)  # all words of the sample, which are many more
+    return found
 
 
 def _tables(spark: SparkSession, words: Vocabulary) -> list[Column]:
