@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from layerloom import sources
 from layerloom.sources import split
+from workload import sources as queries
 
 SCHEMA = "n bigint, s string, o struct<a: array<bigint>, t: string>"
 
@@ -109,3 +110,16 @@ def test_cut_csv_is_an_error(spark, tmp_path, split_bytes):
 def test_empty_folder_and_file(spark, tmp_path, split_bytes):
     (tmp_path / "a.json").write_text("")
     assert sources.read_json_array_split(spark, str(tmp_path), SCHEMA).count() == 0
+
+
+def test_no_task_writes_all_arrays(spark, tmp_path, monkeypatch):
+    """Beyond so many rows the query writes more files, so that one task's share stays the same."""
+    want = [(n, f"[{n}, \"{{") for n in range(400)]
+    spark.createDataFrame(want, "n bigint, s string").repartition(8).write.parquet(f"{tmp_path}/lineitem.parquet")
+    for rows_per_file, files in ((100, 4), (399, 2), (400, 1)):
+        monkeypatch.setattr(queries, "LINES_PER_ARRAY", rows_per_file)
+        found = queries.scan_json_array_split(spark, str(tmp_path))
+        assert sum("scan_json_array_split" in file for file in found.inputFiles()) == files
+        assert sorted(map(tuple, found.collect())) == want
+    spark.createDataFrame([], "n bigint, s string").write.parquet(f"{tmp_path}/none/lineitem.parquet")
+    assert queries.scan_json_array_split(spark, f"{tmp_path}/none").count() == 0
