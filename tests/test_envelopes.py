@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+import re
+
 import pytest
 
 from layerloom import sources
 from layerloom.plans import export_by_key, store_responses, stored_elements, stored_rejects
+from workload.sources import envelope_rejects
 
 GOOD = [
     (1, '{"results": 2, "response": [{"league": {"id": 140}, "n": 1}, {"league": {"id": 39}, "n": 2}]}'),
@@ -151,3 +154,19 @@ def test_landed_files_to_exports(spark, config, tmp_path):
     path = export_by_key(elements, config, "games_by_league", "league.id", "league_id")
     back = sources.read_by_key(spark, path, f"{ELEMENT}, league_id bigint").collect()
     assert sorted((r.league_id, r.n) for r in back) == [(39, 3), (140, 1), (140, 2)]
+
+
+def test_rejects_are_counted_without_whole_bodies(spark, tmp_path):
+    text = "long " * 50_000
+    docs = [(1, "en", text), (2, "en", text + "x"), (3, None, ""), (4, "de", "a\nb")]
+    tables = {
+        "documents": (docs, "doc_id bigint, lang string, text string"),
+        "pages": ([("<p>" + text,), ("<p>" + text,), (None,), ("",)], "html string"),
+        "events": ([('{"k": 1}',)], "props string"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    found = envelope_rejects(spark, str(tmp_path))
+    assert sorted(map(tuple, found.collect())) == [("broken", 16, 16), ("html", 4, 2)]
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "HashAggregate(keys=[lang" in plan and not re.search(r"keys=\[lang#\d+, rejected_body#", plan)
