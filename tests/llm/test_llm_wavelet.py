@@ -87,3 +87,33 @@ def test_words_come_and_go(monkeypatch, encode):
         assert len(encoder.kept) <= 3 + 27
     mark = "x <|endoftext|> y"
     assert encoder.encoded([mark])[0].tolist() == [87, 220, 50256, 331]
+
+
+def test_new_words_share_calls(monkeypatch, encode):
+    """Many new words, of all kinds, take a call for some hundred of them and not one each."""
+    with open(FILE, encoding="utf-8") as file:
+        encoder = wavelet.Encoder(file.read())
+    texts_of = []
+    own = encoder._ids
+    monkeypatch.setattr(encoder, "_ids", lambda texts: texts_of.extend(texts) or own(texts))
+    rng = np.random.default_rng(2)
+    alphabet = list("abcXY019.,-'\n\té日本\U0001f642\u00a0\x00\x85")
+    words = ["x" + "".join(rng.choice(alphabet, rng.integers(0, 12))) + "y" for _ in range(2000)]
+    texts = [" ".join(rng.choice(words, 150)) for _ in range(40)]
+    assert [ids.tolist() + [0] for ids in encoder.encoded(texts)] == [encode(text) for text in texts]
+    assert len(texts_of) < 40 + 10 < len(set(words))
+
+
+def test_joined_words_that_do_not_part_are_encoded_each(monkeypatch, encode):
+    """Where tokens do not stand for all bytes, or a mark could lie over two words."""
+    with open(FILE, encoding="utf-8") as file:
+        vocabulary = file.read()
+    want = [encode(" " + word)[:-1] for word in ("one", "Zwei", "三")]
+    for change in ("lengths", "marks"):
+        encoder = wavelet.Encoder(vocabulary)
+        if change == "lengths":
+            encoder.lengths = encoder.lengths + 1
+        else:
+            encoder.marks = ["e Z"]
+        found = encoder._joined_ids(["one", "Zwei", "三"])
+        assert [np.frombuffer(ids, encoder.dtype).tolist() for ids in found] == want
