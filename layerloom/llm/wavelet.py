@@ -29,6 +29,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -42,6 +43,8 @@ END_ID = 0
 #: A process keeps the ids of so many words at hand, in two halves: when the newer one is full,
 #: it becomes the older one, and what of the older one was not used again goes.
 KEPT_WORDS = 1_000_000
+#: Texts of so many characters are parted into words together.
+TOGETHER_CHARS = 1 << 22
 DIRECTORY_BITS = 512
 
 _SHARDS = "part int, shard int, n_tokens bigint, payload binary"
@@ -214,29 +217,42 @@ class Encoder:
 
     def encoded(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, packed in the smallest type that holds them."""
-        split = [self._words(text) for text in texts]
+        alone = [self._alone(text) for text in texts]
+        parted = pa.array([text for text, whole in zip(texts, alone, strict=True) if not whole], pa.large_string())
+        lists = pc.split_pattern(parted, " ")
+        begins = lists.offsets.to_numpy()[:-1]
+        words = pc.dictionary_encode(lists.values)
+        numbers = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        # A text's first word has no space before it: those are entries of their own.
+        first = pc.dictionary_encode(lists.values.take(pa.array(begins)))
+        distinct = words.dictionary.to_pylist()
+        numbers[begins] = first.indices.to_numpy(zero_copy_only=False) + np.int64(len(distinct))
+        found = self._of_words(distinct + [" " + word for word in first.dictionary.to_pylist()])
+        ids, ends = _gathered(found, numbers, self.dtype)
+        # Where a text ends is where its last word does.
+        of_texts = iter(np.split(ids, ends[lists.offsets.to_numpy()[1:-1] - 1]) if len(parted) else [])
+        others = iter(self._ids([text for text, whole in zip(texts, alone, strict=True) if whole]))
+        return [np.frombuffer(next(others), self.dtype) if whole else next(of_texts) for whole in alone]
+
+    def _of_words(self, words: list[str]) -> list[bytes]:
+        """The ids of distinct words, kept ones or new ones."""
         if len(self.kept) > KEPT_WORDS // 2:
             self.kept, self.older = {}, self.kept
         kept, older = self.kept, self.older
-        found = [None if words is None else list(map(kept.get, words)) for words in split]
-        gaps = [both for both in zip(split, found, strict=True) if both[1] is not None and None in both[1]]
-        missing = {word for words, own in gaps for word, ids in zip(words, own, strict=True) if ids is None}
-        again = missing.intersection(older)
-        kept.update((word, older[word]) for word in again)
-        missing -= again
+        found = list(map(kept.get, words))
+        absent = [number for number, ids in enumerate(found) if ids is None]
+        missing = [words[number] for number in absent]
+        kept.update((word, older[word]) for word in missing if word in older)
+        missing = [word for word in missing if word not in kept]
         first = [word for word in missing if word[:1] == " "]
-        later = list(missing.difference(first))
+        later = [word for word in missing if word[:1] != " "]
         kept.update(zip(first, self._ids([word[1:] for word in first]), strict=True))
         for at in range(0, len(later), self._JOINED):
             some = later[at : at + self._JOINED]
             kept.update(zip(some, self._joined_ids(some), strict=True))
-        whole = iter(self._ids([text for text, words in zip(texts, split, strict=True) if words is None]))
-        packed = []
-        for words, own in zip(split, found, strict=True):
-            if own is not None and None in own:
-                own = map(kept.__getitem__, words)
-            packed.append(next(whole) if own is None else b"".join(own))
-        return [np.frombuffer(ids, self.dtype) for ids in packed]
+        for number in absent:
+            found[number] = kept[words[number]]
+        return found
 
     def _joined_ids(self, words: list[str]) -> list[bytes]:
         """The ids of each word behind a space: of all as one text, cut where the words end.
@@ -264,20 +280,27 @@ class Encoder:
             packed += [np.array(one.ids, self.dtype).tobytes() for one in found]
         return packed
 
-    def _words(self, text: str) -> list[str] | None:
-        """The words that encode by themselves, or none if the text must be encoded whole."""
+    def _alone(self, text: str) -> bool:
+        """Whether the text must be encoded whole, as its words do not encode by themselves."""
         if not text:
-            return []
+            return True
         # A space at an end of the text, or beside other white space.
         if text[0] == " " or text[-1] == " ":
-            return None
+            return True
         if any(white in text and (white + " " in text or " " + white in text) for white in self._WHITE):
-            return None
-        if any(mark in text for mark in self.marks):
-            return None
-        words = text.split(" ")
-        words[0] = " " + words[0]
-        return words
+            return True
+        return any(mark in text for mark in self.marks)
+
+
+def _gathered(entries: list[bytes], numbers: np.ndarray, dtype: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the entries of these numbers, one behind the other, and where each one's end."""
+    table = np.frombuffer(b"".join(entries), dtype)
+    sizes = np.fromiter(map(len, entries), np.int64, len(entries)) // dtype.itemsize
+    starts = np.cumsum(sizes) - sizes
+    taken = sizes[numbers]
+    ends = np.cumsum(taken)
+    places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[numbers] - (ends - taken), taken)
+    return table[places], ends
 
 
 @cache
@@ -330,13 +353,15 @@ def write_shards(
 
 
 def _in_order(rows: Iterator[tuple], encoder: Encoder) -> Iterator[tuple[int | None, np.ndarray]]:
-    """Texts are encoded some 256 at a time, so that new words share a call."""
+    """Texts are encoded some megabytes at a time, so that each distinct word is looked up once in them."""
     waiting: list[tuple] = []
+    size = 0
     for row in rows:
         waiting.append(row)
-        if len(waiting) == 256:
+        size += len(row[1])
+        if size >= TOGETHER_CHARS:
             yield from _encoded(waiting, encoder)
-            waiting = []
+            waiting, size = [], 0
     yield from _encoded(waiting, encoder)
 
 

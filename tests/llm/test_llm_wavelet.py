@@ -117,3 +117,20 @@ def test_joined_words_that_do_not_part_are_encoded_each(monkeypatch, encode):
             encoder.marks = ["e Z"]
         found = encoder._joined_ids(["one", "Zwei", "三"])
         assert [np.frombuffer(ids, encoder.dtype).tolist() for ids in found] == want
+
+
+def test_a_word_is_looked_up_once_in_texts_that_are_encoded_together(monkeypatch, encode):
+    with open(FILE, encoding="utf-8") as file:
+        encoder = wavelet.Encoder(file.read())
+    asked = []
+    own = encoder._of_words
+    monkeypatch.setattr(encoder, "_of_words", lambda words: asked.append(words) or own(words))
+    rng = np.random.default_rng(3)
+    words = ["the", "of", "Zürich", "日本", "don't", "", "x\ny", "<|endoftext|>", "a\x01"]
+    texts = ["the", "", "the the"] + [" ".join(rng.choice(words, rng.integers(0, 12))) for _ in range(500)]
+    found = [(doc, ids.tolist() + [0]) for doc, ids in wavelet._in_order(enumerate(texts), encoder)]
+    assert found == [(doc, encode(text)) for doc, text in enumerate(texts)]
+    assert len(asked) == 1 and len(asked[0]) == len(set(asked[0])) <= 2 * len(words)
+    monkeypatch.setattr(wavelet, "TOGETHER_CHARS", 20)
+    again = [(doc, ids.tolist() + [0]) for doc, ids in wavelet._in_order(enumerate(texts), encoder)]
+    assert again == found and len(asked) > 20
