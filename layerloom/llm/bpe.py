@@ -50,6 +50,12 @@ _KEPT_BUCKETS = 1 << 18
 _FIRST = 0x100
 #: Marks in literals; words that hold one are not kept.
 _KEY, _VALUE, _BUCKET = "\x01", "\x02", "\x03"
+#: Marks of what else the table of kept words holds: beginnings and ends of words, and seams.
+_BEGIN, _END, _SEAM = "\x04", "\x05", "\x06"
+_MARKS = f"[{_KEY}-{_SEAM}]"
+#: Where a word is parted, in characters from its end, the likeliest first.
+_CUTS = (4, 3, 5, 2, 6)
+_LONGEST_BEGIN = 12
 _DONE = "\x00"
 #: Above every symbol.
 _NONE = chr(0x10FFFF)
@@ -196,7 +202,10 @@ def _cut(text: Column, pattern: str) -> Column:
 def kept_words(
     docs: DataFrame, text: str, words: Vocabulary, pattern: str, sample_docs: int, kept: int
 ) -> DataFrame:
-    """``piece, ids``: the most frequent pieces and matches of a sample, with their decimal ids."""
+    """``piece, ids``: the most frequent pieces and matches of a sample, with their decimal ids.
+
+    Under their marks there are a quarter as many beginnings of matches, ends, and seams.
+    """
     spark = docs.sparkSession
     with run_folder(spark, "words") as steps:
         sample = docs.sample(min(1.0, sample_docs / max(1, docs.count())), seed=7)
@@ -204,23 +213,51 @@ def kept_words(
         found = settled(pieces.groupBy("piece").count(), "pieces")
         matches = found.select(F.explode(_matches(F.col("piece"), pattern)).alias("piece"), "count")
         counted = found.unionByName(matches).groupBy("piece").agg(F.sum("count").alias("count"))
-        plain = ~F.regexp_like("piece", F.lit(f"[{_KEY}{_VALUE}{_BUCKET}]"))
+        plain = ~F.regexp_like("piece", F.lit(_MARKS))
         counted = settled(counted.filter(plain), "counted")
-    top = counted.filter(F.col("count") >= _least_count(counted, kept)).select("piece")
-    given = top.repartition("piece").select("piece", *_tables(spark, words))
-    ids = _with_tables(
-        lambda ranks, pairs: _numbers(
-            F.array_join(
-                F.transform(_matches(F.col("piece"), pattern), lambda word: folded(word, words, ranks, pairs)), ""
-            ),
-            words,
+        top = counted.filter(F.col("count") >= _least_count(counted, kept)).select("piece")
+        top = settled(top.select("piece", _matches(F.col("piece"), pattern).alias("words")), "top")
+        single = top.filter(F.size("words") == 1).select("piece", F.length("piece").alias("length"))
+        longest = F.least(F.lit(_LONGEST_BEGIN), F.col("length") - 2)
+        begins = F.transform(F.sequence(F.lit(2), longest), lambda n: F.substring("piece", F.lit(1), n))
+        ends = F.array(*(F.substring("piece", -n, n) for n in _CUTS))
+        parts = [
+            _frequent(single.filter(F.col("length") > 3).select(F.explode(begins).alias("piece")), kept // 4, _BEGIN),
+            _frequent(single.filter(F.col("length") > max(_CUTS)).select(F.explode(ends).alias("piece")), kept // 4, _END),
+        ]
+        given = top.select(F.lit("").alias("mark"), "piece", "words")
+        for part in parts:  # encoded as they stand: a part of a word is within its match
+            given = given.unionByName(part.select("mark", "piece", F.array("piece").alias("words")))
+        ids = _with_tables(
+            lambda ranks, pairs: _numbers(
+                F.array_join(F.transform(F.col("words"), lambda word: folded(word, words, ranks, pairs)), ""), words
+            )
         )
-    )
-    found = settled(given.select("piece", ids.alias("ids")), "kept_words")
+        given = given.repartition("piece").select("mark", "piece", "words", *_tables(spark, words))
+        encoded_parts = settled(
+            given.select(F.concat("mark", "piece").alias("piece"), ids.alias("ids"), F.size("words").alias("words")),
+            "encoded_parts",
+        )
+        tokens = F.split("ids", ",")
+        beside = F.transform(
+            F.sequence(F.lit(2), F.size(tokens)),
+            lambda n: F.concat(F.element_at(tokens, n - 1), F.lit(","), F.element_at(tokens, n)),
+        )
+        seams = encoded_parts.filter((F.col("words") == 1) & (F.instr("ids", ",") > 0))
+        seams = _frequent(seams.select(F.explode(beside).alias("piece")), kept // 4, _SEAM)
+        seams = seams.select(F.concat("mark", "piece").alias("piece"), F.lit("+").alias("ids"))
+    found = settled(encoded_parts.select("piece", "ids").unionByName(seams), "kept_words")
     release(spark, steps)  # all words of the sample, which are many more
     return found
 
 
+def _frequent(pieces: DataFrame, kept: int, mark: str) -> DataFrame:
+    """``mark, piece``: the most frequent pieces."""
+    counted = settled(pieces.groupBy("piece").count(), "parts")
+    top = counted.filter(F.col("count") >= _least_count(counted, kept))
+    return top.select(F.lit(mark).alias("mark"), "piece")
+
+
 def _tables(spark: SparkSession, words: Vocabulary) -> list[Column]:
     """The rank map and the pairs as columns, for :func:`_with_tables`."""
     return [_value(spark, _rank_map(words)).alias("_ranks"), _value(spark, _pair_table(words)).alias("_pairs")]
@@ -259,14 +296,43 @@ def _kept_table(kept: DataFrame) -> Column:
 
 
 def _kept_ids(word: Column, table: Column) -> Column:
-    """A kept word's decimal ids, or null. A mark within the word would confuse the search.
+    """A kept word's decimal ids, or nothing. The word holds no mark, which would confuse the search.
 
     Without the word, all entries are left, and nothing is before the first one's mark.
     """
     entries = F.get(table, _bucket_column(word, _KEPT_BUCKETS))
     key = F.concat(F.lit(_KEY), word, F.lit(_VALUE))
     behind = F.call_function("substring_index", entries, key, F.lit(-1))
-    return F.when(F.instr(word, _KEY) == 0, F.nullif(F.substring_index(behind, _KEY, 1), F.lit("")))
+    return F.substring_index(behind, _KEY, 1)
+
+
+def _joined_ids(word: Column, table: Column) -> Column:
+    """A word's decimal ids from two kept parts of it, or null.
+
+    Tokens that stand side by side are what a word encodes to if each two neighbours are what
+    their own bytes encode to: a merge over the border of two tokens would be made in those
+    bytes as well, as the merges before it are the same. So the ids of two parts join where
+    the tokens at the seam are neighbours in the ids of any word.
+    """
+
+    def cut(at: int) -> Column:
+        begin = F.concat(F.lit(_BEGIN), F.substring(word, F.lit(1), F.length(word) - at))
+        end = F.concat(F.lit(_END), F.substring(word, -at, at))
+
+        def joined(one: Column, other: Column) -> Column:
+            seam = F.concat(
+                F.lit(_SEAM), F.substring_index(one, ",", -1), F.lit(","), F.substring_index(other, ",", 1)
+            )
+            return F.when(_kept_ids(seam, table) != "", F.concat(one, F.lit(","), other))
+
+        return _let(
+            _kept_ids(begin, table),
+            lambda one: F.when(
+                one != "", _let(_kept_ids(end, table), lambda other: F.when(other != "", joined(one, other)))
+            ),
+        )
+
+    return F.coalesce(*(F.when(F.length(word) > at + 1, cut(at)) for at in _CUTS))
 
 
 def encoded(
@@ -287,20 +353,39 @@ def encoded(
     source = docs if sampled is None else sampled
     frequent = _kept_table(kept_words(source, text, words, pattern, sample_docs, kept))
 
+    content = whole_text(F.col("text"))
+
+    def looked_up(pieces: Column, table: Column, marked: Column) -> Column:
+        """Each piece's decimal ids, empty if they are not kept."""
+        return F.when(
+            marked,
+            F.transform(pieces, lambda p: F.when(F.regexp_like(p, F.lit(_MARKS)), "").otherwise(_kept_ids(p, table))),
+        ).otherwise(F.transform(pieces, lambda p: _kept_ids(p, table)))
+
     def piece_numbers(piece: Column, table: Column, ranks: Column, pairs: Column) -> Column:
-        def numbers(word: Column) -> Column:
-            return F.coalesce(_kept_ids(word, table), _numbers(folded(word, words, ranks, pairs), words))
+        def of_words(marked: Column, own: Column) -> Column:
+            def numbers(word: Column, known: Column) -> Column:
+                alone = F.when(~marked, _joined_ids(word, table))
+                return F.when(known != "", known).otherwise(
+                    F.coalesce(alone, _numbers(folded(word, words, ranks, pairs), words))
+                )
+
+            return F.array_join(F.zip_with(own, looked_up(own, table, marked), numbers), ",")
 
-        within = F.transform(_matches(piece, pattern), numbers)
-        return F.coalesce(_kept_ids(piece, table), F.array_join(within, ","))
+        marked = F.regexp_like(piece, F.lit(_MARKS))
+        return _let(marked, lambda m: _let(_matches(piece, pattern), lambda own: of_words(m, own)))
+
+    def all_numbers(pieces: Column, table: Column, ranks: Column, pairs: Column) -> Column:
+        def numbers(piece: Column, known: Column) -> Column:
+            return F.when(known != "", known).otherwise(piece_numbers(piece, table, ranks, pairs))
+
+        marked = F.regexp_like(content, F.lit(_MARKS))
+        return F.array_join(F.zip_with(pieces, looked_up(pieces, table, marked), numbers), ",")
 
-    pieces = _cut(whole_text(F.col("text")), pattern)
     ids = _with_tables(
         lambda ranks, pairs: _let(
             F.col("_table"),
-            lambda table: F.array_join(
-                F.transform(pieces, lambda piece: piece_numbers(piece, table, ranks, pairs)), ","
-            ),
+            lambda table: _let(_cut(content, pattern), lambda pieces: all_numbers(pieces, table, ranks, pairs)),
         )
     )
     # The row as one field, so that no name of its columns can clash. Subqueries are columns

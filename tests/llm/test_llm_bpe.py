@@ -3,6 +3,7 @@ from __future__ import annotations
 import base64
 import hashlib
 
+import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
@@ -55,3 +56,39 @@ def test_every_token_is_what_its_bytes_encode_to():
     for token, (one, other) in words.pairs.items():
         assert words.pieces[one] + words.pieces[other] == words.pieces[token]
         assert max(one, other) < token or min(map(len, (words.pieces[one], words.pieces[other]))) == 1
+
+
+def test_rare_words_are_joined_from_kept_parts(spark, encode, monkeypatch):
+    """Words that no sample holds, of parts that it holds; some seams are not known."""
+    rng = np.random.default_rng(4)
+    syllables = ["tion", "the", "er", "an", "wh", "ble", "ü", "ción", "日本", "12", "a", "ing", "st", "\x04", "''"]
+    word = lambda: "".join(rng.choice(syllables, rng.integers(1, 6)))
+    common = [(" ".join(word() for _ in range(300)),) for _ in range(20)]
+    rare = [(n, " ".join("".join(rng.choice(syllables, rng.integers(3, 9))) for _ in range(40))) for n in range(20)]
+    docs = spark.createDataFrame(rare, "n int, text string")
+    sampled = spark.createDataFrame(common, "text string")
+    joins = []
+    own = bpe._joined_ids
+    monkeypatch.setattr(bpe, "_joined_ids", lambda word, table: joins.append(1) or own(word, table))
+    found = bpe.encoded(docs, FILE, P.PATTERN, sampled=sampled).collect()
+    assert joins
+    for row in found:
+        assert row.ids == ",".join(map(str, encode(row.text)))
+    kept = bpe.kept_words(sampled, "text", bpe.vocabulary(FILE), P.PATTERN, 1000, 100_000).collect()
+    table = {r.piece: r.ids for r in kept}
+    assert len(table) == len(kept)
+    for seam in (key[1:] for key in table if key[0] == bpe._SEAM):
+        pieces = bpe.vocabulary(FILE).pieces
+        ids = list(map(int, seam.split(",")))
+        assert ",".join(map(str, encode_run(b"".join(pieces[i] for i in ids)))) == seam
+
+
+def encode_run(content: bytes) -> list[int]:
+    """Ranked merges, one by one."""
+    words = bpe.vocabulary(FILE)
+    ranks = {piece: rank for rank, piece in enumerate(words.pieces)}
+    parts = [content[i : i + 1] for i in range(len(content))]
+    while merges := [(ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks]:
+        at = min(merges)[1]
+        parts[at : at + 2] = [parts[at] + parts[at + 1]]
+    return [ranks[part] for part in parts]
