@@ -46,7 +46,7 @@ KEPT_WORDS = 1_000_000
 
 _BUCKETS = 1 << 15
 #: Of the table of kept words: a few words each.
-_KEPT_BUCKETS = 1 << 18
+_KEPT_BUCKETS = 1 << 19
 _FIRST = 0x100
 #: Marks in literals; words that hold one are not kept.
 _KEY, _VALUE, _BUCKET = "\x01", "\x02", "\x03"
@@ -54,7 +54,7 @@ _KEY, _VALUE, _BUCKET = "\x01", "\x02", "\x03"
 _BEGIN, _END, _SEAM = "\x04", "\x05", "\x06"
 _MARKS = f"[{_KEY}-{_SEAM}]"
 #: Where a word is parted, in characters from its end, the likeliest first.
-_CUTS = (4, 3, 5, 2, 6)
+_CUTS = (4, 5, 6, 3, 7, 8, 2)
 _LONGEST_BEGIN = 12
 _DONE = "\x00"
 #: Above every symbol.
@@ -202,7 +202,7 @@ def _cut(text: Column, pattern: str) -> Column:
 def kept_words(
     docs: DataFrame, text: str, words: Vocabulary, pattern: str, sample_docs: int, kept: int
 ) -> DataFrame:
-    """``piece, ids``: the most frequent pieces and matches of a sample, with their decimal ids.
+    """``piece, ids, count``: the most frequent pieces and matches of a sample, with their decimal ids.
 
     Under their marks there are a quarter as many beginnings of matches, ends, and seams.
     """
@@ -215,27 +215,30 @@ def kept_words(
         counted = found.unionByName(matches).groupBy("piece").agg(F.sum("count").alias("count"))
         plain = ~F.regexp_like("piece", F.lit(_MARKS))
         counted = settled(counted.filter(plain), "counted")
-        top = counted.filter(F.col("count") >= _least_count(counted, kept)).select("piece")
-        top = settled(top.select("piece", _matches(F.col("piece"), pattern).alias("words")), "top")
+        top = counted.filter(F.col("count") >= _least_count(counted, kept))
+        top = settled(top.select("piece", "count", _matches(F.col("piece"), pattern).alias("words")), "top")
         single = top.filter(F.size("words") == 1).select("piece", F.length("piece").alias("length"))
         longest = F.least(F.lit(_LONGEST_BEGIN), F.col("length") - 2)
         begins = F.transform(F.sequence(F.lit(2), longest), lambda n: F.substring("piece", F.lit(1), n))
-        ends = F.array(*(F.substring("piece", -n, n) for n in _CUTS))
+        longest_end = F.least(F.lit(max(_CUTS)), F.col("length") - 2)
+        ends = F.transform(F.sequence(F.lit(2), longest_end), lambda n: F.substring("piece", -n, n))
         parts = [
             _frequent(single.filter(F.col("length") > 3).select(F.explode(begins).alias("piece")), kept // 4, _BEGIN),
-            _frequent(single.filter(F.col("length") > max(_CUTS)).select(F.explode(ends).alias("piece")), kept // 4, _END),
+            _frequent(single.filter(F.col("length") > 3).select(F.explode(ends).alias("piece")), kept // 4, _END),
         ]
-        given = top.select(F.lit("").alias("mark"), "piece", "words")
+        given = top.select(F.lit("").alias("mark"), "piece", "count", "words")
         for part in parts:  # encoded as they stand: a part of a word is within its match
-            given = given.unionByName(part.select("mark", "piece", F.array("piece").alias("words")))
+            given = given.unionByName(part.select("mark", "piece", F.lit(0).alias("count"), F.array("piece").alias("words")))
         ids = _with_tables(
             lambda ranks, pairs: _numbers(
                 F.array_join(F.transform(F.col("words"), lambda word: folded(word, words, ranks, pairs)), ""), words
             )
         )
-        given = given.repartition("piece").select("mark", "piece", "words", *_tables(spark, words))
+        given = given.repartition("piece").select("mark", "piece", "count", "words", *_tables(spark, words))
         encoded_parts = settled(
-            given.select(F.concat("mark", "piece").alias("piece"), ids.alias("ids"), F.size("words").alias("words")),
+            given.select(
+                F.concat("mark", "piece").alias("piece"), ids.alias("ids"), "count", F.size("words").alias("words")
+            ),
             "encoded_parts",
         )
         tokens = F.split("ids", ",")
@@ -245,8 +248,8 @@ def kept_words(
         )
         seams = encoded_parts.filter((F.col("words") == 1) & (F.instr("ids", ",") > 0))
         seams = _frequent(seams.select(F.explode(beside).alias("piece")), kept // 4, _SEAM)
-        seams = seams.select(F.concat("mark", "piece").alias("piece"), F.lit("+").alias("ids"))
-    found = settled(encoded_parts.select("piece", "ids").unionByName(seams), "kept_words")
+        seams = seams.select(F.concat("mark", "piece").alias("piece"), F.lit("+").alias("ids"), F.lit(0).alias("count"))
+    found = settled(encoded_parts.select("piece", "ids", "count").unionByName(seams), "kept_words")
     release(spark, steps)  # all words of the sample, which are many more
     return found
 
@@ -284,10 +287,16 @@ def _least_count(counted: DataFrame, kept: int) -> int:
 
 
 def _kept_table(kept: DataFrame) -> Column:
-    """The kept words of each hash bucket in one string, as a subquery for an array of the buckets."""
+    """The kept words of each hash bucket in one string, as a subquery for an array of the buckets.
+
+    They are sought from the end, so the most frequent come last.
+    """
     bucket = _bucket_column(F.col("piece"), _KEPT_BUCKETS).alias("bucket")
     entry = F.concat(F.lit(_KEY), "piece", F.lit(_VALUE), "ids").alias("entry")
-    filled = kept.select(bucket, entry).groupBy("bucket").agg(F.array_join(F.collect_list("entry"), "").alias("entries"))
+    rising = F.array_sort(F.collect_list(F.struct("count", "entry")))
+    filled = kept.select(bucket, "count", entry).groupBy("bucket").agg(
+        F.array_join(F.transform(rising, lambda one: one["entry"]), "").alias("entries")
+    )
     every = kept.sparkSession.range(_KEPT_BUCKETS).select(F.col("id").cast("int").alias("bucket"))
     every = every.join(filled, "bucket", "left").select("bucket", F.coalesce("entries", F.lit("")).alias("entries"))
     stored = settled(every, "kept_table")
