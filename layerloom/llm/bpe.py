@@ -11,9 +11,10 @@ That equals merging one by one from the left for every vocabulary in which each
 what its own bytes encode to; :func:`vocabulary` checks that.
 
 Most of a text is made of frequent words. The distinct words of a bounded sample are folded
-first, once each, and the ``kept`` most frequent of them become a value of the same kind. All
-other words are folded where they stand, so the sample decides the speed and never the
-result. Nothing is joined or shuffled but the sample's words.
+first, once each, and the ``kept`` most frequent of them become a value of the same kind, with
+frequent beginnings and ends of words. Another word is joined from two such parts where the
+tokens at the seam are known to be neighbours, see :func:`_joined_ids`, and is folded where it
+stands if not, so the sample decides the speed and never the result. Nothing is joined or shuffled but the sample's words.
 
 Words are the matches of the tokenizer's pattern. Where every space stands between
 characters that are not white space, a space always begins a match, so that such texts are
@@ -190,7 +191,8 @@ def _matches(text: Column, pattern: str) -> Column:
 
 def _cut(text: Column, pattern: str) -> Column:
     """A text in pieces that encode by themselves: at its spaces, or where it must be matched."""
-    beside = F.regexp_like(text, F.lit(r"^ | $|\p{IsWhite_Space} | \p{IsWhite_Space}"))
+    # A space at an end or beside white space. The pattern begins with the space, so that it fails fast.
+    beside = F.regexp_like(text, F.lit(r" (?:(?=\p{IsWhite_Space}|$)|(?<=^ |\p{IsWhite_Space} ))"))
     first = F.substring_index(text, " ", 1)
     rest = F.transform(F.split(F.substring(text, F.length(first) + 2, F.length(text)), " "), lambda w: F.concat(F.lit(" "), w))
     spaced = F.when(F.instr(text, " ") > 0, F.concat(F.array(first), rest)).otherwise(F.array(text))
